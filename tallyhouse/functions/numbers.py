@@ -1,8 +1,9 @@
 """Money and ratio columns.
 
 Money travels as whole cents in a LONG, so sums are exact, independent of task
-order and cheap in generated code; ANSI mode turns an overflow into an error.
-It becomes DECIMAL only in the result. Ratios are rounded half-up to two
+order and cheap in generated code. A LONG holds totals up to 9.2e16 in currency;
+beyond that ANSI mode, Spark's default, raises an error. Money becomes DECIMAL
+only in the result. Ratios are rounded half-up to two
 decimals in whole-number arithmetic, so no binary fraction can tip a half-cent.
 """
 

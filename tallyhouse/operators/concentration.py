@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 
 from tallyhouse import labels
 from tallyhouse.functions.numbers import WHOLE, percent2
-from tallyhouse.operators.ladder import tile_sums, value_ladder
-from tallyhouse.operators.shares import total_of
+from tallyhouse.operators.ladder import climb, known, tile_sums, value_groups
+from tallyhouse.operators.shares import contribution_of_few, total_of
 
 
 def _with_running(frame: DataFrame, value: str) -> DataFrame:
     """value, rows, total, running (sum from the highest value, ties included), grand_total."""
-    return value_ladder(frame, value).select(
+    groups = value_groups(frame, value)
+    return climb(groups, value).select(
         value,
         "rows",
         "total",
-        (F.col("before_total") + F.col("total")).cast(WHOLE).alias("running"),
-        total_of(frame, value).alias("grand_total"),
+        (F.col("before_total") + F.col("total")).alias("running"),
+        total_of(groups, "total").alias("grand_total"),
     )
 
 
 def _within(percent: int) -> Column:
-    return F.col("running") * 100 <= F.col("grand_total") * percent
+    return F.col("running").cast(WHOLE) * 100 <= F.col("grand_total").cast(WHOLE) * percent
 
 
 def pareto_head(
@@ -44,7 +45,7 @@ def pareto_head(
             percent2(F.col("running"), F.col("grand_total")).alias("running_percent"),
         )
     )
-    return frame.join(head, value)
+    return known(frame, value).join(head, value)
 
 
 def long_tail(frame: DataFrame, value: str, percent: int = labels.PARETO_PERCENT) -> DataFrame:
@@ -52,7 +53,7 @@ def long_tail(frame: DataFrame, value: str, percent: int = labels.PARETO_PERCENT
     return (
         _with_running(frame, value)
         .agg(
-            F.sum(F.when(~_within(percent), F.col("total"))).cast(WHOLE).alias("tail"),
+            F.sum(F.when(~_within(percent), F.col("total"))).alias("tail"),
             F.max("grand_total").alias("grand_total"),
         )
         .select(percent2(F.col("tail"), F.col("grand_total")).alias("tail_percent"))
@@ -64,9 +65,5 @@ def bucket_share(frame: DataFrame, value: str, tiles: int, bucket: Column) -> Da
 
     ``bucket`` is an expression over the column ``tile``.
     """
-    sums = tile_sums(frame, value, tiles)
-    return (
-        sums.groupBy(bucket.alias("bucket"))
-        .agg(F.sum("total").cast(WHOLE).alias("total"))
-        .withColumn("share_percent", percent2(F.col("total"), total_of(frame, value)))
-    )
+    sums = tile_sums(frame, value, tiles).groupBy(bucket.alias("bucket"))
+    return contribution_of_few(sums.agg(F.sum("total").alias("total")), "total")

@@ -127,7 +127,7 @@ def order_product_fact(tables: Tables, returns: str = ALL) -> DataFrame:
 
 def product_quantities(tables: Tables, returns: str = ALL) -> DataFrame:
     """product_id, quantity: one row per product with such lines."""
-    lines = tables.lines
+    lines = tables.lines.where(F.col("product_id").isNotNull())
     if returns != ALL:
         lines = lines.join(by_returns(tables.orders, returns), "order_id")
     return lines.groupBy("product_id").agg(F.sum(_quantity()).alias("quantity"))

@@ -3,18 +3,23 @@
 A window without a partition, or with a huge one, sorts all its rows in a single
 task. Here equal values collapse first (a map-side combine, so one value may
 hold any part of the rows), and running totals over the distinct values are
-built digit by digit:
+built from blocks of neighbouring values:
 
     key                    one row per distinct value
-    key >> 20              sums per block of 2^20 neighbouring values
-    key >> 40              sums per block of 2^20 neighbouring blocks
-
-Each step is a window partitioned by the next coarser block. A block spans 2^20
-whole numbers, so a window partition holds at most 2^20 rows whatever the data
-look like; the last step sees at most 2^24 rows over all 64-bit keys, and in
-practice a handful. Block numbers depend on the value alone, so a task that runs
-again after a lost executor gives the same rows. Nothing is sampled and nothing
-is collected.
+    key >> 21              sums per block of 2^21 neighbouring values
+
+The window over the values is partitioned by block, the one over the blocks has
+no partition, and adding both gives the running total. Their sizes are bounded
+by arithmetic, not by the data:
+
+* a block holds at most 2^21 whole numbers;
+* values that are not negative and have a sum below 2^63 fill fewer than 2^22
+  blocks: at most 2^21 of them start below 2^42, and fewer than 2^21 values can
+  be larger.
+
+For keys without such a sum, such as ids, ``levels`` repeats the step on the
+blocks. Block numbers depend on the value alone, so a task that runs again after
+a lost executor gives the same rows. Nothing is sampled and nothing is collected.
 """
 
 from __future__ import annotations
@@ -24,8 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 20
-LEVELS = 2
+BLOCK_BITS = 21
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -38,7 +42,7 @@ def prefix_totals(
     measures: Sequence[str],
     within: Sequence[str] = (),
     bits: int = BLOCK_BITS,
-    levels: int = LEVELS,
+    levels: int = 1,
 ) -> DataFrame:
     """Add ``before_<m>``: the sum of m over the rows with a smaller key.
 
@@ -73,28 +77,46 @@ def _running(
     )
 
 
-def value_ladder(
-    frame: DataFrame, value: str, within: Sequence[str] = (), descending: bool = True
-) -> DataFrame:
-    """One row per distinct value, with what comes before it in value order.
+def known(frame: DataFrame, value: str) -> DataFrame:
+    """The frame with null values (a sum over unpriced products) as 0.
+
+    A column that cannot be null also spares the filter Spark would push into one
+    branch of a self-join, which would keep the branches from sharing a shuffle.
+    """
+    zero = F.lit(0).cast("long")
+    return frame.withColumn(value, F.coalesce(F.col(value), zero))
+
 
-    Adds to value (a non-null LONG): ``rows``, ``total`` = value x rows, ``steps``
-    = 1 and ``before_rows``, ``before_total``, ``before_steps``. So rank is
-    before_rows + 1, dense rank before_steps + 1, and a running sum in which ties
-    share a value is before_total + total.
+def value_groups(frame: DataFrame, value: str, within: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct value (a non-negative LONG) and group.
+
+    Adds ``rows``, ``total`` = value x rows and ``steps`` = 1.
     """
-    wide = F.col(value).cast("decimal(38,0)")
-    groups = (
-        frame.groupBy(*within, value)
+    return (
+        known(frame, value)
+        .groupBy(*within, value)
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(
             "*",
-            (wide * F.col("rows")).cast("decimal(38,0)").alias("total"),
+            (F.col(value) * F.col("rows")).alias("total"),
             F.lit(1).cast("long").alias("steps"),
-            (-F.col(value) if descending else F.col(value)).alias("_key"),
         )
     )
-    return prefix_totals(groups, "_key", ("rows", "total", "steps"), within).drop("_key")
+
+
+def climb(
+    groups: DataFrame, value: str, within: Sequence[str] = (), descending: bool = True
+) -> DataFrame:
+    """Add ``before_rows``, ``before_total`` and ``before_steps`` to value groups.
+
+    These sum what comes earlier in value order. So rank is before_rows + 1, dense
+    rank before_steps + 1, and a running sum in which ties share a value is
+    before_total + total.
+    """
+    key = -F.col(value) if descending else F.col(value)
+    return prefix_totals(
+        groups.withColumn("_key", key), "_key", ("rows", "total", "steps"), within
+    ).drop("_key")
 
 
 def with_dense_rank(
@@ -105,27 +127,41 @@ def with_dense_rank(
     descending: bool = True,
 ) -> DataFrame:
     """Add the dense rank of every row by value, over all rows or within groups."""
-    ranks = value_ladder(frame, value, within, descending).select(
-        *within, value, (F.col("before_steps") + 1).alias(rank)
+    ranks = climb(value_groups(frame, value, within), value, within, descending)
+    return known(frame, value).join(
+        ranks.select(*within, value, (F.col("before_steps") + 1).alias(rank)), [*within, value]
     )
-    return frame.join(ranks, [*within, value])
 
 
-def with_row_number(
-    frame: DataFrame, value: str, tiebreak: str, number: str, descending: bool = True
+def with_tile(
+    frame: DataFrame, value: str, tiebreak: str, tiles: int, descending: bool = True
 ) -> DataFrame:
-    """Add the global row number by value, then by ascending tiebreak (a unique LONG)."""
-    ladder = value_ladder(frame, value, (), descending).select(value, "before_rows")
-    ties = prefix_totals(
-        frame.select(value, tiebreak, F.lit(1).cast("long").alias("step")),
+    """Add the global ``position`` (row number) and ``tile`` (n-tile) by value.
+
+    Equal values are numbered by ascending tiebreak, a unique LONG.
+    """
+    frame = known(frame, tiebreak)
+    groups = value_groups(frame, value)
+    before = climb(groups, value, (), descending).select(value, "before_rows")
+    numbered = prefix_totals(
+        known(frame, value).withColumn("_one", F.lit(1).cast("long")),
         tiebreak,
-        ("step",),
+        ("_one",),
         (value,),
-    ).select(tiebreak, value, "before_step")
-    numbers = ties.join(ladder, value).select(
-        tiebreak, (F.col("before_rows") + F.col("before_step") + 1).alias(number)
+        levels=2,
+    )
+    position = F.col("before_rows") + F.col("before__one") + 1
+    return (
+        numbered.join(before, value)
+        .select(*frame.columns, position.alias("position"), count_of(groups).alias("_n"))
+        .withColumn("tile", tile_of(F.col("position"), F.col("_n"), tiles))
+        .drop("_n")
     )
-    return frame.join(numbers, tiebreak)
+
+
+def count_of(groups: DataFrame) -> Column:
+    """The number of grouped rows as a scalar subquery over the same shuffle."""
+    return groups.agg(F.sum("rows")).scalar()
 
 
 def tile_of(position: Column, rows: Column, tiles: int) -> Column:
@@ -143,13 +179,12 @@ def tile_sums(frame: DataFrame, value: str, tiles: int) -> DataFrame:
     Equal values are interchangeable in a sum, so the result needs no tie-break: a
     run of equal values is cut where a tile ends.
     """
-    ladder = value_ladder(frame, value)
-    count = frame.agg(F.count(F.lit(1))).scalar()
-    placed = ladder.select(
+    groups = value_groups(frame, value)
+    placed = climb(groups, value).select(
         value,
         (F.col("before_rows") + 1).alias("first"),
         (F.col("before_rows") + F.col("rows")).alias("last"),
-        count.alias("n"),
+        count_of(groups).alias("n"),
     )
     size, extra = _div(F.col("n"), F.lit(tiles)), F.col("n") % tiles
     tile = F.col("tile")
@@ -166,7 +201,6 @@ def tile_sums(frame: DataFrame, value: str, tiles: int) -> DataFrame:
     ).withColumn(
         "rows", F.least(F.col("last"), ends) - F.greatest(F.col("first"), starts) + 1
     )
-    worth = F.col(value).cast("decimal(38,0)") * F.col("rows")
     return cut.groupBy("tile").agg(
-        F.sum("rows").alias("rows"), F.sum(worth).cast("decimal(38,0)").alias("total")
+        F.sum("rows").alias("rows"), F.sum(F.col(value) * F.col("rows")).alias("total")
     )

@@ -11,7 +11,7 @@ from tallyhouse.functions.numbers import WHOLE, percent2
 
 def total_of(frame: DataFrame, value: str):
     """The sum of a column as a scalar subquery: one number, no join, no window."""
-    return frame.agg(F.sum(F.col(value).cast(WHOLE)).cast(WHOLE)).scalar()
+    return frame.agg(F.sum(value)).scalar()
 
 
 def contribution(
@@ -32,7 +32,7 @@ def contribution_of_few(
 
     One window is cheaper than a subquery there; its partition holds the report.
     """
-    total = F.sum(F.col(value).cast(WHOLE)).over(Window.partitionBy(*within))
+    total = F.sum(value).over(Window.partitionBy(*within))
     return frame.withColumn(name, percent2(F.col(value), total))
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import labels
-from tallyhouse.functions.numbers import WHOLE, money, percent2, ratio2
+from tallyhouse.functions.numbers import money, percent2, ratio2
 from tallyhouse.functions.periods import year_month_name
 from tallyhouse.operators import facts, segments
 from tallyhouse.operators.concentration import bucket_share, long_tail
 from tallyhouse.operators.integrity import integrity_report
-from tallyhouse.operators.ladder import tile_of, tile_sums, with_row_number
+from tallyhouse.operators.ladder import tile_sums, with_tile
 from tallyhouse.operators.measures import rate_where, total_by
 from tallyhouse.operators.ranking import tile_few, top_k_with_ties
 from tallyhouse.operators.shares import total_of
@@ -41,7 +41,7 @@ def top_products_share(t: Tables, k: int = labels.TOP_K) -> DataFrame:
     products = facts.product_fact(t, facts.NET)
     top = top_k_with_ties(products, "cents", "revenue_rank", k)
     return _part_of_total(
-        top.agg(F.sum(F.col("cents").cast(WHOLE)).alias("top")).withColumn(
+        top.agg(F.sum("cents").alias("top")).withColumn(
             "total", total_of(products, "cents")
         )
     )
@@ -129,13 +129,11 @@ def check_integrity(t: Tables) -> DataFrame:
 def order_deciles(t: Tables) -> DataFrame:
     """Global row number and decile of every non-returned order by value, then id."""
     orders = facts.order_fact(t, facts.NET).select("order_id", "cents")
-    numbered = with_row_number(orders, "cents", "order_id", "position")
-    count = orders.agg(F.count(F.lit(1))).scalar()
-    return numbered.withColumn("_n", count).select(
+    return with_tile(orders, "cents", "order_id", 10).select(
         "order_id",
         money(F.col("cents")).alias("order_value"),
         "position",
-        tile_of(F.col("position"), F.col("_n"), 10).alias("decile"),
+        F.col("tile").alias("decile"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.numbers import WHOLE, mean_money, money
+from tallyhouse.functions.numbers import mean_money, money
 from tallyhouse.functions.periods import month_of, month_start, year_month, year_of
 from tallyhouse.operators import facts
 from tallyhouse.operators.growth import period_growth
@@ -177,7 +177,7 @@ def top_product_contribution(t: Tables, k: int = 10) -> DataFrame:
     so_far = Window.orderBy(F.desc("cents"), "product_name").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    running = F.sum(F.col("cents").cast(WHOLE)).over(so_far).cast("double")
+    running = F.sum("cents").over(so_far).cast("double")
     return (
         contribution(top_k_with_ties(names, "cents", "revenue_rank", k), "cents", names)
         .withColumn("_total", total_of(names, "cents").cast("double"))

@@ -6,28 +6,40 @@ Spark starts no inference job and the scan reads nothing else.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@dataclass(frozen=True)
 class Tables:
     """Logical model: lines -> orders -> customers -> regions, lines -> products.
 
-    ``customer_names`` is ``customers`` without the region column. Where a layout
-    reaches the region through another table, name look-ups skip that join, which
-    Catalyst would keep (it removes no unused inner join).
+    regions         region_id, region_name
+    customers       customer_id, customer_name, region_id
+    customer_names  customer_id, customer_name
+    products        product_id, product_name, category, price
+    orders          order_id, customer_id, order_date, is_returned
+    lines           order_id, product_id, quantity
+
+    A table is opened when a report first asks for it, so a report lists no files
+    of the others. Where a layout reaches the region through another table, name
+    look-ups take ``customer_names`` and so skip that join, which Catalyst would
+    keep (it removes no unused inner join).
     """
 
-    regions: DataFrame         # region_id, region_name
-    customers: DataFrame       # customer_id, customer_name, region_id
-    customer_names: DataFrame  # customer_id, customer_name
-    products: DataFrame        # product_id, product_name, category, price
-    orders: DataFrame          # order_id, customer_id, order_date, is_returned
-    lines: DataFrame           # order_id, product_id, quantity
+    def __init__(self, **opener: Callable[[], DataFrame]) -> None:
+        self._opener = opener
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._opener:
+            raise AttributeError(name)
+        if name not in self._opened:
+            self._opened[name] = self._opener[name]()
+        return self._opened[name]
 
 
 def _struct(**columns: T.DataType) -> T.StructType:
@@ -82,21 +94,17 @@ STAR = {
 }
 
 
-def from_frames(
-    regions: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    orders: DataFrame,
-    lines: DataFrame,
-) -> Tables:
-    """Tables over frames that already have the logical columns."""
+def from_frames(**frames: DataFrame) -> Tables:
+    """Tables over the five frames that already have the logical columns."""
+    return _native(lambda name: frames[name])
+
+
+def _native(open_table: Callable[[str], DataFrame]) -> Tables:
+    def names() -> DataFrame:
+        return open_table("customers").select("customer_id", "customer_name")
+
     return Tables(
-        regions=regions,
-        customers=customers,
-        customer_names=customers.select("customer_id", "customer_name"),
-        products=products,
-        orders=orders,
-        lines=lines,
+        customer_names=names, **{name: partial(open_table, name) for name in NATIVE}
     )
 
 
@@ -107,40 +115,56 @@ def load_star(spark: SparkSession, folder: str) -> Tables:
         return spark.read.schema(STAR[name]).parquet(f"{folder}/{name}.parquet")
 
     col = F.col
-    customer = scan("customer").select(
-        col("c_custkey").alias("customer_id"),
-        col("c_name").alias("customer_name"),
-        "c_nationkey",
-    )
-    nation = scan("nation").select(
-        "n_nationkey", col("n_regionkey").cast("long").alias("region_id")
-    )
-    return Tables(
-        regions=scan("region").select(
-            col("r_regionkey").cast("long").alias("region_id"),
-            col("r_name").alias("region_name"),
-        ),
-        customers=customer.join(nation, col("c_nationkey") == col("n_nationkey")).select(
-            "customer_id", "customer_name", "region_id"
-        ),
-        customer_names=customer.select("customer_id", "customer_name"),
-        products=scan("part").select(
+
+    def regions() -> DataFrame:
+        return scan("region").select(
+            col("r_regionkey").cast("long").alias("region_id"), col("r_name").alias("region_name")
+        )
+
+    def customers() -> DataFrame:
+        nation = scan("nation").select(
+            "n_nationkey", col("n_regionkey").cast("long").alias("region_id")
+        )
+        named = scan("customer").join(nation, col("c_nationkey") == col("n_nationkey"))
+        return named.select(
+            col("c_custkey").alias("customer_id"), col("c_name").alias("customer_name"), "region_id"
+        )
+
+    def customer_names() -> DataFrame:
+        return scan("customer").select(
+            col("c_custkey").alias("customer_id"), col("c_name").alias("customer_name")
+        )
+
+    def products() -> DataFrame:
+        return scan("part").select(
             col("p_partkey").alias("product_id"),
             col("p_name").alias("product_name"),
             col("p_type").alias("category"),
             col("p_retailprice").cast("decimal(10,2)").alias("price"),
-        ),
-        orders=scan("orders").select(
+        )
+
+    def orders() -> DataFrame:
+        return scan("orders").select(
             col("o_orderkey").alias("order_id"),
             col("o_custkey").alias("customer_id"),
             col("o_orderdate").cast("date").alias("order_date"),
             (col("o_orderstatus") == "F").alias("is_returned"),
-        ),
-        lines=scan("lineitem").select(
+        )
+
+    def lines() -> DataFrame:
+        return scan("lineitem").select(
             col("l_orderkey").alias("order_id"),
             col("l_partkey").alias("product_id"),
             col("l_quantity").cast("int").alias("quantity"),
-        ),
+        )
+
+    return Tables(
+        regions=regions,
+        customers=customers,
+        customer_names=customer_names,
+        products=products,
+        orders=orders,
+        lines=lines,
     )
 
 
@@ -166,4 +190,4 @@ def load_native(spark: SparkSession, folder: str, fmt: str = "parquet") -> Table
             ).load(path)
         return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
-    return from_frames(*(scan(name) for name in NATIVE))
+    return _native(scan)

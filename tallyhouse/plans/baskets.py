@@ -47,7 +47,7 @@ def single_and_multi_item_revenue(t: Tables, single: int = 1) -> DataFrame:
 def basket_types(t: Tables) -> DataFrame:
     return (
         basket_type(facts.order_fact(t, facts.NET).select("order_id", "quantity", "cents"))
-        .orderBy(F.desc("cents"))
+        .orderBy(F.desc("cents"), "order_id")
         .select(
             "order_id",
             "quantity",

@@ -101,7 +101,7 @@ def customer_lifetime_value(t: Tables) -> DataFrame:
     return (
         named(t, net_spend(t))
         .select("customer_id", "customer_name", money(F.col("cents")).alias("lifetime_value"))
-        .orderBy(F.desc("lifetime_value"))
+        .orderBy(F.desc("lifetime_value"), "customer_id")
     )
 
 

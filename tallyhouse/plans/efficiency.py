@@ -97,7 +97,7 @@ def customer_lifecycle(
     t: Tables, limits: tuple[int, int] = labels.GAP_LIMITS
 ) -> DataFrame:
     return segments.customer_lifecycle(facts.orders_of(t, facts.NET), limits).orderBy(
-        F.desc("gap_days")
+        F.desc("gap_days"), "customer_id"
     )
 
 

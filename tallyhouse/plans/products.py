@@ -76,7 +76,7 @@ def product_rank_by_region(t: Tables) -> DataFrame:
             money(F.col("cents")).alias("revenue"),
             "region_rank",
         )
-        .orderBy("region_name", "region_rank")
+        .orderBy("region_name", "region_rank", "product_id")
     )
 
 
@@ -88,7 +88,7 @@ def return_rate_by_product(t: Tables) -> DataFrame:
         .select(
             "product_id", "product_name", "returned_orders", "total_orders", "return_rate_percent"
         )
-        .orderBy(F.desc("return_rate_percent"))
+        .orderBy(F.desc("return_rate_percent"), "product_id")
     )
 
 
@@ -158,7 +158,7 @@ def pareto_products(t: Tables, percent: int = labels.PARETO_PERCENT) -> DataFram
         money(F.col("running")).alias("running_revenue"),
         money(F.col("grand_total")).alias("total_revenue"),
         "running_percent",
-    ).orderBy(F.desc("revenue"))
+    ).orderBy(F.desc("revenue"), "product_id")
 
 
 @plan("q03_08_declining_products")
@@ -171,7 +171,7 @@ def declining_products(t: Tables) -> DataFrame:
     revenue = facts.with_product(t, months, "product_name")
     return any_decline(
         revenue, ("product_id", "product_name"), "month_start", "cents"
-    ).orderBy("product_name")
+    ).orderBy("product_name", "product_id")
 
 
 @plan("q03_09_order_quantity_by_product")
@@ -186,7 +186,7 @@ def order_quantity_by_product(t: Tables) -> DataFrame:
             "product_name",
             ratio2(F.col("quantity"), F.col("orders")).alias("average_quantity"),
         )
-        .orderBy(F.desc("average_quantity"))
+        .orderBy(F.desc("average_quantity"), "product_id")
     )
 
 

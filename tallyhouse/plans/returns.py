@@ -45,7 +45,7 @@ def frequent_returners(t: Tables, at_least: int = labels.FREQUENT_RETURNS) -> Da
     return (
         frequent.join(t.customer_names, "customer_id")
         .select("customer_id", "customer_name", *RATE)
-        .orderBy(F.desc("return_rate_percent"))
+        .orderBy(F.desc("return_rate_percent"), "customer_id")
     )
 
 
@@ -85,7 +85,7 @@ def return_impact_by_product(t: Tables) -> DataFrame:
             money(total).alias("total_revenue"),
             percent2(returned, total).alias("returned_percent"),
         )
-        .orderBy(F.desc("returned_percent"))
+        .orderBy(F.desc("returned_percent"), "product_id")
     )
 
 

@@ -64,7 +64,7 @@ def revenue_by_month(t: Tables) -> DataFrame:
 def revenue_by_product_name(t: Tables) -> DataFrame:
     products = facts.product_fact(t, facts.ALL, "product_name", "category")
     return revenue_by(products, "product_name", "category").orderBy(
-        "category", F.desc("revenue")
+        "category", F.desc("revenue"), "product_name"
     )
 
 

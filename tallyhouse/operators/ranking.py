@@ -21,6 +21,15 @@ def top_k_with_ties(frame: DataFrame, value: str, rank: str, k: int = labels.TOP
     return frame.join(F.broadcast(ranked), value)
 
 
+def sort_few(frame: DataFrame, *keys) -> DataFrame:
+    """Sort the rows of a short report in one partition.
+
+    A range-partitioned sort would first run the aggregate below it a second time,
+    to sample the keys.
+    """
+    return frame.repartition(1).sortWithinPartitions(*keys)
+
+
 def rank_few(
     frame: DataFrame, value: str, rank: str, within: tuple[str, ...] = (), descending: bool = True
 ) -> DataFrame:

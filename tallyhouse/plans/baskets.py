@@ -10,6 +10,7 @@ from tallyhouse.functions.numbers import money, ratio2
 from tallyhouse.operators import facts
 from tallyhouse.operators.basket import basket_type, category_combinations
 from tallyhouse.operators.measures import average_order_value, total_by
+from tallyhouse.operators.ranking import sort_few
 from tallyhouse.operators.segments import classify
 from tallyhouse.plans.registry import plan
 from tallyhouse.sources.tables import Tables
@@ -72,5 +73,5 @@ def order_value_by_basket_size(
             "average_order_value",
             money(F.col("cents")).alias("revenue"),
         )
-        .orderBy(F.desc("revenue"))
+        .transform(sort_few, F.desc("revenue"))
     )

@@ -10,7 +10,7 @@ from tallyhouse.functions.numbers import money, money_per, percent2, ratio2
 from tallyhouse.operators import facts, segments
 from tallyhouse.operators.ladder import with_dense_rank
 from tallyhouse.operators.measures import total_by
-from tallyhouse.operators.ranking import top_k_with_ties
+from tallyhouse.operators.ranking import sort_few, top_k_with_ties
 from tallyhouse.operators.shares import contribution, contribution_of_few
 from tallyhouse.plans.registry import plan
 from tallyhouse.sources.tables import Tables
@@ -83,7 +83,7 @@ def gap_between_orders_by_region(t: Tables) -> DataFrame:
     return (
         facts.regional(t, gaps, ("days", "gaps"))
         .select("region_name", ratio2(F.col("days"), F.col("gaps")).alias("average_days"))
-        .orderBy("average_days")
+        .transform(sort_few, "average_days")
     )
 
 
@@ -120,7 +120,7 @@ def order_value_by_segment(
         .select(
             "segment", money_per(F.col("cents"), F.col("orders")).alias("average_order_value")
         )
-        .orderBy(F.desc("average_order_value"))
+        .transform(sort_few, F.desc("average_order_value"))
     )
 
 

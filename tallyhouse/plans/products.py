@@ -13,7 +13,7 @@ from tallyhouse.operators.concentration import pareto_head
 from tallyhouse.operators.growth import any_decline, period_growth
 from tallyhouse.operators.ladder import with_dense_rank
 from tallyhouse.operators.measures import return_rate, total_by
-from tallyhouse.operators.ranking import top_k_with_ties
+from tallyhouse.operators.ranking import sort_few, top_k_with_ties
 from tallyhouse.operators.shares import contribution, price_or_volume
 from tallyhouse.plans.registry import plan
 from tallyhouse.plans.sales import monthly_revenue, yearly_revenue
@@ -94,8 +94,8 @@ def return_rate_by_product(t: Tables) -> DataFrame:
 
 @plan("q03_04_return_rate_by_category")
 def return_rate_by_category(t: Tables) -> DataFrame:
-    return return_rate(facts.order_category_fact(t), "category").orderBy(
-        F.desc("return_rate_percent")
+    return return_rate(facts.order_category_fact(t), "category").transform(
+        sort_few, F.desc("return_rate_percent")
     )
 
 
@@ -104,7 +104,7 @@ def average_price_by_region(t: Tables) -> DataFrame:
     sold = facts.regional(t, facts.order_fact(t, facts.NET), ("cents", "quantity"))
     return sold.select(
         "region_name", money_per(F.col("cents"), F.col("quantity")).alias("average_price")
-    ).orderBy(F.desc("average_price"))
+    ).transform(sort_few, F.desc("average_price"))
 
 
 @plan("q03_06a_category_growth_by_month")
@@ -144,7 +144,7 @@ def category_growth_by_month_of_year(t: Tables) -> DataFrame:
             money(F.col("previous")).alias("previous_revenue"),
             "growth_percent",
         )
-        .orderBy("category", "month", "year")
+        .transform(sort_few, "category", "month", "year")
     )
 
 

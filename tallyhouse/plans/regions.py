@@ -11,7 +11,7 @@ from tallyhouse.functions.periods import month_start, year_month_name
 from tallyhouse.operators import facts
 from tallyhouse.operators.growth import period_growth
 from tallyhouse.operators.measures import average_order_value
-from tallyhouse.operators.ranking import rank_few, tier, with_extremes
+from tallyhouse.operators.ranking import rank_few, sort_few, tier, with_extremes
 from tallyhouse.operators.segments import customer_value
 from tallyhouse.operators.shares import contribution_of_few
 from tallyhouse.plans.registry import plan
@@ -68,7 +68,7 @@ def order_value_by_region(t: Tables) -> DataFrame:
     return (
         average_order_value(regional_sales(t), "region_name")
         .select("region_name", "average_order_value")
-        .orderBy(F.desc("average_order_value"))
+        .transform(sort_few, F.desc("average_order_value"))
     )
 
 
@@ -94,7 +94,7 @@ def category_sales_by_region(t: Tables) -> DataFrame:
             "orders",
             "quantity",
         )
-        .orderBy(F.desc("revenue"))
+        .transform(sort_few, F.desc("revenue"))
     )
 
 
@@ -112,7 +112,7 @@ def category_rank_by_region(t: Tables) -> DataFrame:
             "region_rank",
             "share_percent",
         )
-        .orderBy("region_name", "region_rank")
+        .transform(sort_few, "region_name", "region_rank")
     )
 
 
@@ -123,7 +123,7 @@ def active_customers_by_region(t: Tables) -> DataFrame:
         active.join(facts.customer_regions(t), "customer_id")
         .groupBy("region_name")
         .agg(F.count("customer_id").alias("customers"))
-        .orderBy(F.desc("customers"))
+        .transform(sort_few, F.desc("customers"))
     )
 
 
@@ -138,7 +138,7 @@ def spend_per_customer_by_region(t: Tables) -> DataFrame:
             "region_name",
             mean_money(F.col("cents"), F.col("customers")).alias("average_spend"),
         )
-        .orderBy(F.desc("average_spend"))
+        .transform(sort_few, F.desc("average_spend"))
     )
 
 
@@ -153,7 +153,7 @@ def volume_against_revenue_by_region(t: Tables) -> DataFrame:
             money(cents).alias("revenue"),
             money_per(cents, orders).alias("average_order_value"),
         )
-        .orderBy(F.desc("orders"), "revenue")
+        .transform(sort_few, F.desc("orders"), "revenue")
     )
 
 
@@ -170,7 +170,7 @@ def growth_by_region(t: Tables) -> DataFrame:
     months = facts.regional(t, orders, ("cents",), ("month_start",))
     return (
         period_growth(months, "cents", "month_start", ("region_name",))
-        .orderBy("region_name", "month_start")
+        .transform(sort_few, "region_name", "month_start")
         .select(
             "region_name",
             year_month_name(F.col("month_start")).alias("month"),

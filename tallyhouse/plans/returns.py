@@ -10,6 +10,7 @@ from tallyhouse.functions.numbers import add_where, cents, count_where, money, p
 from tallyhouse.functions.periods import month_start, year_month_name
 from tallyhouse.operators import facts, segments
 from tallyhouse.operators.measures import gross_net_returned, return_rate
+from tallyhouse.operators.ranking import sort_few
 from tallyhouse.plans.registry import plan
 from tallyhouse.sources.tables import Tables
 
@@ -18,15 +19,15 @@ RATE = ("returned_orders", "total_orders", "return_rate_percent")
 
 @plan("q06_01_return_rate_by_category")
 def return_rate_by_category(t: Tables) -> DataFrame:
-    return return_rate(facts.order_category_fact(t), "category").orderBy(
-        F.desc("return_rate_percent")
+    return return_rate(facts.order_category_fact(t), "category").transform(
+        sort_few, F.desc("return_rate_percent")
     )
 
 
 @plan("q06_02a_return_rate_by_region")
 def return_rate_by_region(t: Tables) -> DataFrame:
     located = facts.regional(t, facts.orders_of(t), ("returned", "orders"))
-    return return_rate(located, "region_name").orderBy(F.desc("return_rate_percent"))
+    return return_rate(located, "region_name").transform(sort_few, F.desc("return_rate_percent"))
 
 
 @plan("q06_02b_return_rate_by_region_and_category")
@@ -35,7 +36,9 @@ def return_rate_by_region_and_category(t: Tables) -> DataFrame:
     located = facts.regional(
         t, facts.order_category_fact(t), ("returned", "orders"), ("category",), region
     )
-    return return_rate(located, *region, "category").orderBy(F.desc("return_rate_percent"))
+    return return_rate(located, *region, "category").transform(
+        sort_few, F.desc("return_rate_percent")
+    )
 
 
 @plan("q06_03_frequent_returners", at_least=8)
@@ -98,7 +101,7 @@ def return_rate_of_new_and_repeat(t: Tables) -> DataFrame:
         .agg(F.sum("orders").alias("orders"), F.sum("returned").alias("returned"))
     )
     typed = customers.withColumn("customer_type", segments.new_or_repeat(F.col("orders")))
-    return return_rate(typed, "customer_type").orderBy(F.desc("return_rate_percent"))
+    return return_rate(typed, "customer_type").transform(sort_few, F.desc("return_rate_percent"))
 
 
 def _status(orders: DataFrame, *keys) -> DataFrame:
@@ -131,7 +134,7 @@ def completion_and_return_rate(t: Tables) -> DataFrame:
 @plan("q08_05_status_by_month")
 def status_by_month(t: Tables) -> DataFrame:
     months = _status(t.orders, month_start(F.col("order_date")).alias("month_start"))
-    return months.orderBy("month_start").select(
+    return months.transform(sort_few, "month_start").select(
         year_month_name(F.col("month_start")).alias("month"),
         "total_orders",
         "completed_orders",

@@ -12,7 +12,7 @@ from tallyhouse.operators.growth import period_growth
 from tallyhouse.operators.measures import (
     average_order_value, gross_net_returned, revenue_by, total_by,
 )
-from tallyhouse.operators.ranking import rank_few, top_k_with_ties, with_extremes
+from tallyhouse.operators.ranking import rank_few, sort_few, top_k_with_ties, with_extremes
 from tallyhouse.operators.shares import contribution, contribution_of_few, total_of
 from tallyhouse.plans.registry import plan
 from tallyhouse.sources.tables import Tables
@@ -51,7 +51,7 @@ def revenue_by_month(t: Tables) -> DataFrame:
     month = F.col("month_start")
     return (
         monthly_revenue(facts.order_fact(t))
-        .orderBy(F.desc("month_start"))
+        .transform(sort_few, F.desc("month_start"))
         .select(
             year_of(month).alias("year"),
             month_of(month).alias("month"),
@@ -70,8 +70,7 @@ def revenue_by_product_name(t: Tables) -> DataFrame:
 
 @plan("q01_04b_revenue_by_category")
 def revenue_by_category(t: Tables) -> DataFrame:
-    return revenue_by(facts.product_fact(t, facts.ALL, "category"), "category").orderBy(
-        F.desc("revenue")
+    return revenue_by(facts.product_fact(t, facts.ALL, "category"), "category").transform(sort_few, F.desc("revenue")
     )
 
 
@@ -91,7 +90,7 @@ def average_order_value_by_month(t: Tables) -> DataFrame:
     orders = facts.order_fact(t).withColumn("month_start", month_start(F.col("order_date")))
     return (
         average_order_value(orders, "month_start", rounded=False)
-        .orderBy(F.desc("month_start"))
+        .transform(sort_few, F.desc("month_start"))
         .select(
             year_of(month).alias("year"), month_of(month).alias("month"), "average_order_value"
         )
@@ -105,7 +104,7 @@ def average_order_size_by_region(t: Tables) -> DataFrame:
     return (
         facts.regional(t, orders, ("quantity", "orders"))
         .select("region_name", size.alias("average_items"))
-        .orderBy(F.desc("average_items"))
+        .transform(sort_few, F.desc("average_items"))
     )
 
 

@@ -12,6 +12,7 @@ from tallyhouse.functions.periods import month_of, month_start, year_month, year
 from tallyhouse.operators import facts
 from tallyhouse.operators.growth import period_growth
 from tallyhouse.operators.measures import average_order_value, total_by
+from tallyhouse.operators.ranking import sort_few
 from tallyhouse.operators.seasons import season_type, weekday_weekend
 from tallyhouse.plans.registry import plan
 from tallyhouse.plans.sales import growth_columns, monthly_revenue
@@ -30,7 +31,7 @@ def last_year_by_month(t: Tables, as_of: date | None = None) -> DataFrame:
     month = F.col("month_start")
     return (
         monthly_revenue(last_year(t, as_of))
-        .orderBy("month_start")
+        .transform(sort_few, "month_start")
         .select(
             year_of(month).alias("year"),
             month_of(month).alias("month"),
@@ -56,7 +57,7 @@ def order_value_by_month(t: Tables) -> DataFrame:
     )
     return (
         average_order_value(orders, "month_start")
-        .orderBy("month_start")
+        .transform(sort_few, "month_start")
         .select(year_month(F.col("month_start")).alias("month"), "average_order_value")
     )
 
@@ -105,5 +106,5 @@ def weekday_and_weekend(t: Tables) -> DataFrame:
             "orders",
             "average_order_value",
         )
-        .orderBy(F.desc("revenue"))
+        .transform(sort_few, F.desc("revenue"))
     )

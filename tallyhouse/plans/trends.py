@@ -20,9 +20,13 @@ from tallyhouse.sources.tables import Tables
 
 
 def last_year(t: Tables, as_of: date | None) -> DataFrame:
-    """Non-returned orders dated from 12 months before as_of (default: the latest order)."""
+    """Non-returned lines dated from 12 months before as_of (default: the latest order).
+
+    The date cuts the orders before they meet the lines, and so the lines before
+    they meet the products.
+    """
     end = t.orders.agg(F.max("order_date")).scalar() if as_of is None else F.lit(as_of)
-    recent = facts.order_fact(t, facts.NET)
+    recent = facts.order_line_fact(t, facts.NET, ("order_date", "cents"))
     return recent.where(F.col("order_date") >= F.add_months(end, -12))
 
 

@@ -6,16 +6,16 @@ hold any part of the rows), and running totals over the distinct values are
 built from blocks of neighbouring values:
 
     key                    one row per distinct value
-    key >> 21              sums per block of 2^21 neighbouring values
+    key >> 20              sums per block of 2^20 neighbouring values
 
 The window over the values is partitioned by block, the one over the blocks has
 no partition, and adding both gives the running total. Their sizes are bounded
 by arithmetic, not by the data:
 
-* a block holds at most 2^21 whole numbers;
-* values that are not negative and have a sum below 2^63 fill fewer than 2^22
-  blocks: at most 2^21 of them start below 2^42, and fewer than 2^21 values can
-  be larger.
+* a block holds at most 2^20 whole numbers;
+* values that are not negative and have a sum below 2^63 fill fewer than 2^23
+  blocks: at most 2^21 blocks start below 2^41, and fewer than 2^22 values can be
+  larger. Ordinary amounts fill some dozens.
 
 For keys without such a sum, such as ids, ``levels`` repeats the step on the
 blocks. Block numbers depend on the value alone, so a task that runs again after
@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 21
+BLOCK_BITS = 20
 
 
 def _div(a: Column, b: Column) -> Column:

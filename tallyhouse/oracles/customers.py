@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyhouse.oracles.sql import big, each, money, pct, q, ratio
+from tallyhouse.oracles.sql import each, money, pct, q, ratio
 
 
 def _segment(platinum: int, gold: int, silver: int) -> str:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import labels
-from tallyhouse.functions.numbers import money, money_per, ratio2
+from tallyhouse.functions.numbers import money, money_per
 from tallyhouse.functions.periods import month_of, month_start, year_month, year_of
 from tallyhouse.operators import facts
 from tallyhouse.operators.concentration import pareto_head
 from tallyhouse.operators.growth import any_decline, period_growth
 from tallyhouse.operators.ladder import with_dense_rank
-from tallyhouse.operators.measures import return_rate, total_by
+from tallyhouse.operators.measures import average_order_size, return_rate, total_by
 from tallyhouse.operators.ranking import sort_few, top_k_with_ties
 from tallyhouse.operators.shares import contribution, price_or_volume
 from tallyhouse.plans.registry import plan
@@ -176,16 +176,10 @@ def declining_products(t: Tables) -> DataFrame:
 
 @plan("q03_09_order_quantity_by_product")
 def order_quantity_by_product(t: Tables) -> DataFrame:
-    sold = total_by(
-        facts.order_product_fact(t, facts.NET), ("product_id",), ("quantity", "orders")
-    )
+    sold = average_order_size(facts.order_product_fact(t, facts.NET), "product_id")
     return (
         named(t, sold)
-        .select(
-            "product_id",
-            "product_name",
-            ratio2(F.col("quantity"), F.col("orders")).alias("average_quantity"),
-        )
+        .select("product_id", "product_name", F.col("average_items").alias("average_quantity"))
         .orderBy(F.desc("average_quantity"), "product_id")
     )
 

@@ -70,8 +70,8 @@ def revenue_by_product_name(t: Tables) -> DataFrame:
 
 @plan("q01_04b_revenue_by_category")
 def revenue_by_category(t: Tables) -> DataFrame:
-    return revenue_by(facts.product_fact(t, facts.ALL, "category"), "category").transform(sort_few, F.desc("revenue")
-    )
+    categories = facts.product_fact(t, facts.ALL, "category")
+    return revenue_by(categories, "category").transform(sort_few, F.desc("revenue"))
 
 
 @plan("q01_05_average_order_value")

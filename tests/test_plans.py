@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import final_plan, rows
+from conftest import final_plan
 from tallyhouse.operators import facts
 from tallyhouse.plans import PLANS
 from tallyhouse.plans.customers import net_spend
@@ -136,12 +136,16 @@ HOT = {
 
 @pytest.fixture(scope="module")
 def hot_star(spark, tmp_path_factory):
-    """A third of the lines in one order, a third of one product, a third of orders of one customer."""
+    """One order and one product with a third of the lines each, one customer with a third of the orders."""
     folder = tmp_path_factory.mktemp("hot")
     n = F.col("id")
+
+    def spread(seed, count):
+        return F.pmod(F.xxhash64(n, F.lit(seed)), F.lit(count))
+
     lines = spark.range(30_000).repartition(8).select(
-        F.when(n % 3 == 1, 11).otherwise(F.pmod(F.xxhash64(n), F.lit(4000))).cast("long").alias("l_orderkey"),
-        F.when(n % 3 == 0, 5).otherwise(F.pmod(F.xxhash64(n, F.lit(1)), F.lit(500))).cast("long").alias("l_partkey"),
+        F.when(n % 3 == 1, 11).otherwise(spread(0, 4000)).cast("long").alias("l_orderkey"),
+        F.when(n % 3 == 0, 5).otherwise(spread(1, 500)).cast("long").alias("l_partkey"),
         (n % 50 + 1).cast("double").alias("l_quantity"),
     )
     orders = spark.range(4000).select(

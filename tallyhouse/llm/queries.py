@@ -7,10 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import simhash
+from tallyhouse.llm import mixing, naming, sharding, simhash
 from tallyhouse.llm.store import table
 
 
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document: weights 5, 2, 1, 150 % of all words, at most 2 passes."""
+    docs = table(spark, folder, "documents")
+    return mixing.mix(docs, keep=["doc_id"]).select(
+        F.col("doc.doc_id").alias("doc_id"), "source", "size", "source_size", "target", "taken"
+    )
+
+
+def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in one of 24 shards of near equal bytes, with its slot."""
+    docs = table(spark, folder, "documents")
+    return sharding.shard(docs, 24, keep=["doc_id"]).select(
+        F.col("doc.doc_id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_naming(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of equal texts of every document; the largest doc_id stays."""
+    docs = table(spark, folder, "documents")
+    return naming.exact_duplicates(docs, keep=["doc_id"]).select(
+        F.col("doc.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document: word shingles of 3, links at 3 differing bits."""
     docs = table(spark, folder, "documents")
@@ -23,8 +53,55 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": op1_mix,
+    "op7_shards": op7_shards,
+    "op9_naming": op9_naming,
     "op10_simhash": op10_simhash,
 }
 
 #: Expected results as DuckDB SQL, where SQL can express them.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mix": r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')), 1, 15))::BIGINT AS hash
+    FROM documents
+), s AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), p AS (
+    SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place,
+        [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+        2 * source_size AS room
+    FROM s
+), l AS (
+    SELECT *, room::DOUBLE / weight AS ratio,
+        (1.5::DOUBLE * (SELECT sum(source_size)::DOUBLE FROM s)
+            - coalesce(sum(room) OVER (ORDER BY room::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / sum(weight) OVER (ORDER BY room::DOUBLE / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level
+    FROM p
+), t AS (
+    SELECT source, source_size, least(weight::DOUBLE * (SELECT arg_min(level, (ratio, place)) FROM l WHERE level <= ratio), room::DOUBLE) AS target
+    FROM l
+), r AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 1 END AS whole FROM t
+), c AS (
+    SELECT d.*, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size AS rest,
+        sum(size) OVER (PARTITION BY d.source ORDER BY hash) AS upto,
+        sum(size) OVER (PARTITION BY d.source, hash) AS own
+    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+), b AS (
+    SELECT source, arg_min(hash + CASE WHEN upto - rest <= rest - (upto - own) THEN 1 ELSE 0 END, hash) AS below
+    FROM c WHERE rest > 0 AND upto >= rest GROUP BY source
+)
+SELECT doc_id, c.source, size, source_size, target,
+    (size * (whole + CASE WHEN hash < coalesce(below, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c LEFT JOIN b ON c.source IS NOT DISTINCT FROM b.source
+""",
+    "op9_naming": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+}

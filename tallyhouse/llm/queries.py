@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import mixing, naming, sharding, simhash
+from tallyhouse.llm import decontaminate, mixing, naming, sharding, simhash, toxicity
 from tallyhouse.llm.store import table
 
 
@@ -19,6 +19,17 @@ def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    fitted = toxicity.learn(docs, table(spark, folder, "labels"))
+    return docs.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        fitted.score(F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 24 shards of near equal bytes, with its slot."""
     docs = table(spark, folder, "documents")
@@ -33,6 +44,22 @@ def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie inside an occurrence of a benchmark window of 10 words."""
+    found = decontaminate.contaminated_documents(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10
+    )
+    named = F.concat_ws(",", F.array_sort("items"))
+    return found.select(
+        F.col("id").cast("long").alias("doc_id"),
+        F.col("words").cast("long").alias("n_words"),
+        decontaminate.words_hit().cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(named, 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op9_naming(spark: SparkSession, folder: str) -> DataFrame:
     """The group of equal texts of every document; the largest doc_id stays."""
     docs = table(spark, folder, "documents")
@@ -54,7 +81,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op2_toxicity": op2_toxicity,
     "op7_shards": op7_shards,
+    "op8_decontaminate": op8_decontaminate,
     "op9_naming": op9_naming,
     "op10_simhash": op10_simhash,
 }
@@ -96,6 +125,33 @@ WITH d AS (
 SELECT doc_id, c.source, size, source_size, target,
     (size * (whole + CASE WHEN hash < coalesce(below, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c LEFT JOIN b ON c.source IS NOT DISTINCT FROM b.source
+""",
+    "op8_decontaminate": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), i AS (
+    SELECT item_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), w AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[p : p + least(len(words), 10) - 1], ' ') AS said
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 10, 0) + 2)) AS p FROM i WHERE len(words) > 0)
+), h AS (
+    SELECT r, p, n, array_to_string(words[p : p + n - 1], ' ') AS said
+    FROM (SELECT d.*, l.n, unnest(range(1, greatest(len(words) - l.n, -1) + 2)) AS p FROM d, (SELECT DISTINCT n FROM w) l)
+), m AS (
+    SELECT r, h.p, h.n, item_id FROM h JOIN w USING (n, said)
+), hit AS (
+    SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + n)) AS q FROM m) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(coalesce(item_id::VARCHAR, 'null'), ',' ORDER BY coalesce(item_id::VARCHAR, 'null')) AS ids
+    FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """,
     "op9_naming": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

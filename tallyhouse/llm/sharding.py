@@ -151,3 +151,10 @@ def shard(
         .withColumn("slot", F.col("start") + F.col("number") - 1)
         .select("doc", "size", "text_crc32", "shard", "slot")
     )
+
+
+def sharded(docs: DataFrame, shards: int = 24, **options) -> DataFrame:
+    """`docs` with `size`, `shard` and `slot`; columns of `docs` with these names are replaced."""
+    added = ("size", "shard", "slot")
+    placed = shard(docs, shards, **options)
+    return placed.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in added], *added)

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontaminate, mixing, naming, sharding, simhash, toxicity
-from tallyhouse.llm.store import table
+from tallyhouse.llm import (
+    decontaminate,
+    mixing,
+    naming,
+    pages,
+    preferences,
+    secret_scan,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+)
+from tallyhouse.llm.store import new_folder, table
 
 
 def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +41,65 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: spans of the patterns, and of novel strings near a sensitive word."""
+    found = secret_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.NOVEL)
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page, by the path that its host's pages agree on."""
+    found = pages.main_text(table(spark, folder, "pages"))
+    return found.select(
+        F.col("doc.page_id").alias("page_id"),
+        F.col("doc.url").alias("url"),
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
+    )
+
+
+def op5_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of neighbouring conversations: of two numbers 2n and 2n + 1 the first is the chosen."""
+    turns = table(spark, folder, "conversations")
+    pair, chosen = F.shiftright("conv_id", 1), F.col("conv_id").bitwiseAND(1) == 0
+    mask = lambda name: F.array_join(
+        F.transform(name, lambda s: F.concat_ws(":", s["start"], s["end"])), ","
+    ).alias(name)
+    return preferences.format_pairs(turns, pair, chosen).select(
+        F.col("pair").alias("pair_id"),
+        F.col("shared").cast("long").alias("n_shared"),
+        "prompt",
+        "chosen",
+        "rejected",
+        mask("chosen_mask"),
+        mask("rejected_mask"),
+        "complete",
+    )
+
+
+def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document by byte-level BPE, through a cache that starts empty."""
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents")
+    file, cache = public_tokenizers.path("byte_bpe_50k.json"), new_folder(spark, "token-cache")
+    return tokens.count_tokens(docs, file, cache, keep=["doc_id"]).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit")
+    )
+
+
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 24 shards of near equal bytes, with its slot."""
     docs = table(spark, folder, "documents")
@@ -82,6 +152,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_toxicity": op2_toxicity,
+    "op3_secrets": op3_secrets,
+    "op4_main_text": op4_main_text,
+    "op5_preferences": op5_preferences,
+    "op6_tokens": op6_tokens,
     "op7_shards": op7_shards,
     "op8_decontaminate": op8_decontaminate,
     "op9_naming": op9_naming,
@@ -125,6 +199,33 @@ WITH d AS (
 SELECT doc_id, c.source, size, source_size, target,
     (size * (whole + CASE WHEN hash < coalesce(below, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c LEFT JOIN b ON c.source IS NOT DISTINCT FROM b.source
+""",
+    "op5_preferences": r"""
+WITH t AS (
+    SELECT conv_id >> 1 AS pair_id, conv_id & 1 AS side, role, text, coalesce(role, '') AS r, coalesce(text, '') AS x,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), b AS (
+    SELECT pair_id, pos, count(*) FILTER (side = 0) AS a, count(*) FILTER (side = 1) AS o,
+        count(DISTINCT (role IS NULL, r, text IS NULL, x)) AS kinds
+    FROM t GROUP BY pair_id, pos
+), s AS (
+    SELECT pair_id, coalesce(min(pos) FILTER (a = 0 OR o = 0 OR kinds > 1) - 1, max(pos)) AS n_shared FROM b GROUP BY pair_id
+), u AS (
+    SELECT t.*, n_shared, pos <= n_shared AS common, '<|' || r || '|>' || chr(10) AS head, x || chr(10) || '<|end|>' || chr(10) AS tail
+    FROM t JOIN s USING (pair_id)
+), m AS (
+    SELECT *, coalesce(sum(length(head) + length(tail)) OVER (PARTITION BY pair_id, side, common ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS beg
+    FROM u
+)
+SELECT pair_id, any_value(n_shared)::BIGINT AS n_shared,
+    coalesce(string_agg(head || tail, '' ORDER BY pos) FILTER (common AND side = 0), '') AS prompt,
+    coalesce(string_agg(head || tail, '' ORDER BY pos) FILTER (NOT common AND side = 0), '') AS chosen,
+    coalesce(string_agg(head || tail, '' ORDER BY pos) FILTER (NOT common AND side = 1), '') AS rejected,
+    coalesce(string_agg(beg || ':' || (beg + length(tail)), ',' ORDER BY pos) FILTER (NOT common AND side = 0 AND role = 'assistant'), '') AS chosen_mask,
+    coalesce(string_agg(beg || ':' || (beg + length(tail)), ',' ORDER BY pos) FILTER (NOT common AND side = 1 AND role = 'assistant'), '') AS rejected_mask,
+    count(*) FILTER (NOT common AND side = 0 AND role = 'assistant') > 0 AND count(*) FILTER (NOT common AND side = 1 AND role = 'assistant') > 0 AS complete
+FROM m GROUP BY pair_id
 """,
     "op8_decontaminate": r"""
 WITH d AS (

@@ -45,15 +45,15 @@ STANDS_FOR = {
 #: Log probabilities of the channel: a sign that stands for a letter, for nothing, a repeated letter.
 SUBSTITUTED, DROPPED, REPEATED = math.log(0.6), math.log(0.002), math.log(0.3)
 
-_MARKS = re.compile("[̀-ͯ]+")
+_MARKS = re.compile("[\u0300-\u036f]+")
 _SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
-#: Four or more single characters with one separator between them; or a token with a sign or digit next
-#: to a letter; or a letter three times.
-_NOISY = re.compile(
-    rf"(?<![^\W_])[a-z{_SIGNS}](?P<gap>[ ._*\-])(?:[a-z{_SIGNS}](?P=gap)){{2,}}[a-z{_SIGNS}](?![^\W_])"
-    rf"|[a-z{_SIGNS}]*(?:[a-z][{_SIGNS}]|[{_SIGNS}][a-z])[a-z{_SIGNS}]*"
-    r"|[a-z]*([a-z])\2\2[a-z]*"
+#: Four or more single characters with one separator between them.
+_SPELLED = re.compile(
+    rf"(?<!\S)[A-Za-z{_SIGNS}](?P<gap>[ ._*\-])(?:[A-Za-z{_SIGNS}](?P=gap)){{2,}}[A-Za-z{_SIGNS}](?![^\W_])"
 )
+#: In a token: a sign or digit next to a letter, or a letter three times.
+_NOISY = re.compile(rf"[a-z][{_SIGNS}]|[{_SIGNS}][a-z]|([a-z])\1\1")
+_RUN = re.compile(rf"[a-z{_SIGNS}]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SIZE = 27
 _CODES = bytes(c - 96 if 97 <= c <= 122 else 0 for c in range(256))
@@ -135,39 +135,49 @@ def decode(token: str, model: np.ndarray) -> str:
 
 
 class Restorer:
-    """Restores folded texts; keeps what it has decoded, up to a number of tokens."""
+    """Restores texts token by token; keeps the tokens it has seen, up to a number.
 
-    def __init__(self, model: np.ndarray, kept: int = 200_000):
-        self.model, self.kept, self.seen = model, kept, {}
+    `derive` says what is kept of a restored token; by default the token itself.
+    """
 
-    def _word(self, match: re.Match) -> str:
-        token = match[0]
-        if match["gap"]:
-            token = token.replace(match["gap"], "")
-        else:
-            # decoration around a word: runs of one sign
-            token = re.sub(rf"^([{_SIGNS}])\1+|([{_SIGNS}])\2+$", "", token)
-        if token.isalpha() and not re.search(r"(.)\1\1", token):
-            return token
-        if not re.search("[a-z]", token):
-            return match[0]
-        # a run longer than three says no more than three
-        token = re.sub(r"(.)\1{3,}", r"\1\1\1", token)
-        said = self.seen.get(token)
-        if said is None:
+    def __init__(self, model: np.ndarray, derive=lambda token: token, kept: int = 300_000):
+        self.model, self.derive, self.kept, self.seen = model, derive, kept, {}
+
+    def _run(self, match: re.Match) -> str:
+        # runs of one sign around a word are decoration
+        run = re.sub(rf"^([{_SIGNS}])\1+|([{_SIGNS}])\2+$", "", match[0])
+        if not _NOISY.search(run):
+            return run
+        # a run of more than three says no more than three
+        return decode(re.sub(r"(.)\1{3,}", r"\1\1\1", run), self.model)
+
+    def token(self, token: str):
+        """What is derived of one token, folded and restored."""
+        found = self.seen.get(token)
+        if found is None:
             if len(self.seen) >= self.kept:
                 self.seen.clear()
-            said = self.seen[token] = decode(token, self.model)
-        return said
+            said = fold(token)
+            found = self.seen[token] = self.derive(_RUN.sub(self._run, said) if _NOISY.search(said) else said)
+        return found
+
+    def tokens(self, text: str | None) -> list[str]:
+        """The tokens of a text between white space; spelled-out words are one token."""
+        return _SPELLED.sub(lambda m: m[0].replace(m["gap"], ""), text or "").split()
 
     def __call__(self, text: str | None) -> str:
-        return _NOISY.sub(self._word, fold(text))
+        return " ".join(map(self.token, self.tokens(text)))
+
 
+def features(restored: str) -> tuple[str, ...]:
+    """The words of a restored token, and the beginnings of longer ones, marked by a star."""
+    words = _WORD.findall(restored)
+    return (*words, *(w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n))
 
-def features(restored: str) -> set[str]:
-    """The words of a text, and the beginnings of longer ones, marked by a star."""
-    words = set(_WORD.findall(restored))
-    return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n}
+
+def _held(restore: Restorer, text: str | None) -> set[str]:
+    """All that a restorer derives of the tokens of a text."""
+    return set().union(*map(restore.token, set(restore.tokens(text))))
 
 
 def _bound(hits: int, total: int) -> float:
@@ -178,13 +188,13 @@ def _bound(hits: int, total: int) -> float:
 
 def _counted(model: np.ndarray):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restore = Restorer(model)
+        restore = Restorer(model, features)
         for batch in batches:
             for start in range(0, len(batch), 1000):
                 sums: dict[bool, Counter] = {True: Counter(), False: Counter()}
                 part = batch.iloc[start : start + 1000]
                 for text, toxic in zip(part["text"], part["toxic"], strict=True):
-                    sums[bool(toxic)].update(features(restore(text)))
+                    sums[bool(toxic)].update(_held(restore, text))
                 for toxic, found in sums.items():
                     yield pd.DataFrame(
                         {"feature": list(found), "hits": [n * toxic for n in found.values()], "n": list(found.values())}
@@ -194,11 +204,14 @@ def _counted(model: np.ndarray):
 
 
 def _voted(model: np.ndarray, bounds: dict[str, float]):
+    def known(token: str) -> tuple[str, ...]:
+        return tuple(f for f in features(token) if f in bounds)
+
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restore, votes = Restorer(model), Counter()
+        restore, votes = Restorer(model, known), Counter()
         for batch in batches:
             for text in batch["text"]:
-                held = [(bounds[f], f[-1] != "*", f) for f in features(restore(text)) if f in bounds]
+                held = [(bounds[f], f[-1] != "*", f) for f in _held(restore, text)]
                 if held:
                     votes[max(held)[2]] += 1
         yield pd.DataFrame({"feature": list(votes), "votes": list(votes.values())})
@@ -216,14 +229,17 @@ class Toxicity:
         """0 to 1; null and empty texts have the score of a text without features."""
         model, bounds, base = self.model, self.bounds, self.base
 
+        def known(token: str) -> tuple[str, ...]:
+            return tuple(f for f in features(token) if f in bounds)
+
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            restore = Restorer(model)
+            restore = Restorer(model, known)
             for texts in batches:
                 found = []
                 for text in texts:
                     left = 1 - base
-                    for f in features(restore(text)) & bounds.keys():
+                    for f in sorted(_held(restore, text)):
                         left *= 1 - bounds[f]
                     found.append(1 - left)
                 yield pd.Series(found, dtype="float64")

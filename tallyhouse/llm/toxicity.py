@@ -278,7 +278,7 @@ def learn(
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < part * (1 << 20))
     rows = spool.write(
         docs.select(F.col(identifier).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .join(chosen, "id")
+        .join(F.broadcast(chosen), "id")  # about max_labelled rows of two numbers
         .groupBy("text")
         .agg(F.max("toxic").alias("toxic"))
         .select("text", (F.col("toxic") > 0).alias("toxic"))

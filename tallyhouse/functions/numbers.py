@@ -1,9 +1,10 @@
 """Money and ratio columns.
 
-Money travels as whole cents in a LONG, so sums are exact, independent of task
-order and cheap in generated code. A LONG holds totals up to 9.2e16 in currency;
-beyond that ANSI mode, Spark's default, raises an error. Money becomes DECIMAL
-only in the result. Ratios are rounded half-up to two
+Money travels as whole cents, so sums are exact and independent of task order. What
+one line, order or customer holds is a LONG, cheap in generated code (up to 9.2e16
+in currency; beyond that ANSI mode raises an error). A product's revenue and every
+total above that grain is a DECIMAL(38,0), so no report's total is bounded by 64
+bits. Ratios are rounded half-up to two
 decimals in whole-number arithmetic, so no binary fraction can tip a half-cent.
 """
 
@@ -53,6 +54,11 @@ def mean_money(amount: Column, count: Column) -> Column:
     return amount.cast("double") / F.nullif(count, F.lit(0)).cast("double") / 100
 
 
+def total(amount: Column) -> Column:
+    """Sum of whole cents, wider than a LONG."""
+    return F.sum(amount.cast(WHOLE))
+
+
 def add_where(condition: Column, value: Column) -> Column:
     """Sum of value over the rows that meet the condition; the others add 0."""
     return F.sum(F.when(condition, value).otherwise(0))

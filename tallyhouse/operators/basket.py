@@ -9,7 +9,7 @@ from tallyhouse import labels
 
 
 def category_combinations(lines: DataFrame, id_column: str, item: str) -> DataFrame:
-    """Number of ids per alphabetical set of at least two items.
+    """Number of ids per alphabetical text of a set of at least two items.
 
     The set of one id is built as a partial aggregate and is never larger than
     the number of distinct items, however many lines the id has.
@@ -19,9 +19,8 @@ def category_combinations(lines: DataFrame, id_column: str, item: str) -> DataFr
         lines.groupBy(id_column)
         .agg(items.alias("items"))
         .where(F.size("items") > 1)
-        .groupBy("items")
+        .groupBy(F.concat_ws(", ", "items").alias("combination"))
         .agg(F.count(F.lit(1)).alias("orders"))
-        .select(F.concat_ws(", ", "items").alias("combination"), "orders")
     )
 
 

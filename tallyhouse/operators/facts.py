@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.numbers import cents
+from tallyhouse.functions.numbers import WHOLE, cents, total
 from tallyhouse.sources.tables import Tables
 
 ALL, NET, RETURNED = "all", "net", "returned"
@@ -136,14 +136,15 @@ def product_quantities(tables: Tables, returns: str = ALL) -> DataFrame:
 def with_product(tables: Tables, quantities: DataFrame, *columns: str) -> DataFrame:
     """Add product columns and cents to rows that hold a product and a quantity.
 
-    The price never varies, so sum(quantity) x price = sum(quantity x price).
+    The price never varies, so sum(quantity) x price = sum(quantity x price). One
+    product may hold most of a large total, so its cents are wider than a LONG.
     """
     products = tables.products.select(
         "product_id", cents(F.col("price")).alias("price_cents"), *columns
     )
     return (
         quantities.join(products, "product_id")
-        .withColumn("cents", F.col("quantity") * F.col("price_cents"))
+        .withColumn("cents", (F.col("quantity").cast("decimal(19,0)") * F.col("price_cents")).cast(WHOLE))
         .drop("price_cents")
     )
 
@@ -178,7 +179,7 @@ def regional(
     return (
         per_customer.join(customer_regions(tables), "customer_id")
         .groupBy(*region, *keys)
-        .agg(*[F.sum(m).alias(m) for m in measures])
+        .agg(*[(total(F.col(m)) if m == "cents" else F.sum(m)).alias(m) for m in measures])
     )
 
 

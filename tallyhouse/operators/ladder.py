@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.numbers import WHOLE
+
 BLOCK_BITS = 20
 
 
@@ -78,13 +80,13 @@ def _running(
 
 
 def known(frame: DataFrame, value: str) -> DataFrame:
-    """The frame with null values (a sum over unpriced products) as 0.
+    """The frame with null values (a sum over unpriced products) as 0, values as LONG.
 
     A column that cannot be null also spares the filter Spark would push into one
     branch of a self-join, which would keep the branches from sharing a shuffle.
     """
     zero = F.lit(0).cast("long")
-    return frame.withColumn(value, F.coalesce(F.col(value), zero))
+    return frame.withColumn(value, F.coalesce(F.col(value).cast("long"), zero))
 
 
 def value_groups(frame: DataFrame, value: str, within: Sequence[str] = ()) -> DataFrame:
@@ -98,7 +100,9 @@ def value_groups(frame: DataFrame, value: str, within: Sequence[str] = ()) -> Da
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(
             "*",
-            (F.col(value) * F.col("rows")).alias("total"),
+            (F.col(value).cast("decimal(19,0)") * F.col("rows").cast("decimal(18,0)"))
+            .cast(WHOLE)
+            .alias("total"),
             F.lit(1).cast("long").alias("steps"),
         )
     )
@@ -126,11 +130,17 @@ def with_dense_rank(
     within: Sequence[str] = (),
     descending: bool = True,
 ) -> DataFrame:
-    """Add the dense rank of every row by value, over all rows or within groups."""
-    ranks = climb(value_groups(frame, value, within), value, within, descending)
-    return known(frame, value).join(
-        ranks.select(*within, value, (F.col("before_steps") + 1).alias(rank)), [*within, value]
-    )
+    """Add the dense rank of every row by value, over all rows or within groups.
+
+    A null value is lower than every other and stays null.
+    """
+    least = F.lit(-1).cast("long")
+    keyed = frame.withColumn("_value", F.coalesce(F.col(value).cast("long"), least))
+    ranks = climb(value_groups(keyed, "_value", within), "_value", within, descending)
+    return keyed.join(
+        ranks.select(*within, "_value", (F.col("before_steps") + 1).alias(rank)),
+        [*within, "_value"],
+    ).drop("_value")
 
 
 def with_tile(
@@ -202,5 +212,8 @@ def tile_sums(frame: DataFrame, value: str, tiles: int) -> DataFrame:
         "rows", F.least(F.col("last"), ends) - F.greatest(F.col("first"), starts) + 1
     )
     return cut.groupBy("tile").agg(
-        F.sum("rows").alias("rows"), F.sum(F.col(value) * F.col("rows")).alias("total")
+        F.sum("rows").alias("rows"),
+        F.sum(
+            (F.col(value).cast("decimal(19,0)") * F.col("rows").cast("decimal(18,0)")).cast(WHOLE)
+        ).alias("total"),
     )

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.numbers import (
-    add_where, count_where, mean_money, money, money_per, percent2, ratio2,
+    WHOLE, add_where, count_where, mean_money, money, money_per, percent2, ratio2, total,
 )
 
 
 def total_by(
     frame: DataFrame, keys: tuple = (), measures: tuple[str, ...] = ("cents",)
 ) -> DataFrame:
-    """Sum the measures, over all rows or by keys (names or aliased columns)."""
-    return frame.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    """Sum the measures, over all rows or by keys (names or aliased columns); cents are summed wide."""
+    sums = [total(F.col(m)) if m == "cents" else F.sum(m) for m in measures]
+    return frame.groupBy(*keys).agg(*[s.alias(m) for s, m in zip(sums, measures)])
 
 
 def revenue_by(frame: DataFrame, *keys: str) -> DataFrame:
@@ -31,7 +32,7 @@ def gross_net_returned(frame: DataFrame, *keys: str) -> DataFrame:
 
     A null flag counts in gross only.
     """
-    flag, cents = F.col("is_returned"), F.col("cents")
+    flag, cents = F.col("is_returned"), F.col("cents").cast(WHOLE)
     return (
         frame.groupBy(*keys)
         .agg(

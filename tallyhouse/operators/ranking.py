@@ -11,14 +11,15 @@ from tallyhouse import labels
 def top_k_with_ties(frame: DataFrame, value: str, rank: str, k: int = labels.TOP_K) -> DataFrame:
     """The rows whose value is among the k highest distinct values, with dense rank.
 
-    Only the k values themselves are ranked and broadcast (k rows); rows that tie
-    stay where they are, so any number of them may share a value.
+    Null is the lowest value: rows without a value have a rank only if fewer than k
+    values are known. Only the k values themselves are ranked and broadcast (k rows);
+    rows that tie stay where they are, so any number of them may share a value.
     """
-    best = frame.select(value).distinct().orderBy(F.desc(value)).limit(k)
-    ranked = best.select(
-        value, F.row_number().over(Window.orderBy(F.desc(value))).cast("long").alias(rank)
-    )
-    return frame.join(F.broadcast(ranked), value)
+    falling = F.desc_nulls_last("_value")
+    best = frame.select(F.col(value).alias("_value")).distinct().orderBy(falling).limit(k)
+    ranked = best.withColumn(rank, F.row_number().over(Window.orderBy(falling)).cast("long"))
+    same = frame[value].eqNullSafe(ranked["_value"])
+    return frame.join(F.broadcast(ranked), same).drop("_value")
 
 
 def sort_few(frame: DataFrame, *keys) -> DataFrame:

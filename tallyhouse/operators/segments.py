@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import labels
-from tallyhouse.functions.numbers import add_where, percent2
+from tallyhouse.functions.numbers import WHOLE, add_where, percent2, total
 from tallyhouse.operators import facts
 from tallyhouse.sources.tables import Tables
 
@@ -114,9 +114,9 @@ def activity_share(
     activity: DataFrame, min_orders: int = labels.HIGHLY_ACTIVE_ORDERS
 ) -> DataFrame:
     """Total cents, cents of customers with at least min_orders, and the percentage."""
-    active = add_where(F.col("orders") >= min_orders, F.col("cents"))
+    active = add_where(F.col("orders") >= min_orders, F.col("cents").cast(WHOLE))
     return (
         activity.where(F.col("cents").isNotNull())
-        .agg(F.sum("cents").alias("total"), active.alias("active"))
+        .agg(total(F.col("cents")).alias("total"), active.alias("active"))
         .withColumn("active_percent", percent2(F.col("active"), F.col("total")))
     )

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import labels
-from tallyhouse.functions.numbers import WHOLE, percent2
+from tallyhouse.functions.numbers import WHOLE, percent2, total as wide_total
 
 
 def total_of(frame: DataFrame, value: str):
     """The sum of a column as a scalar subquery: one number, no join, no window."""
-    return frame.agg(F.sum(value)).scalar()
+    return frame.agg(wide_total(F.col(value))).scalar()
 
 
 def contribution(
@@ -32,7 +32,7 @@ def contribution_of_few(
 
     One window is cheaper than a subquery there; its partition holds the report.
     """
-    total = F.sum(value).over(Window.partitionBy(*within))
+    total = wide_total(F.col(value)).over(Window.partitionBy(*within))
     return frame.withColumn(name, percent2(F.col(value), total))
 
 
@@ -45,10 +45,10 @@ def price_or_volume(frame: DataFrame) -> DataFrame:
     whole = frame.select(
         "*",
         F.sum("quantity").over(everything).alias("_quantity"),
-        F.sum("cents").over(everything).alias("_cents"),
+        wide_total(F.col("cents")).over(everything).alias("_cents"),
     )
     by_price = F.col("cents").cast(WHOLE) * F.col("_quantity").cast("decimal(20,0)")
-    by_volume = F.col("quantity").cast(WHOLE) * F.col("_cents").cast("decimal(20,0)")
+    by_volume = F.col("_cents").cast(WHOLE) * F.col("quantity").cast("decimal(20,0)")
     comparable = (F.col("_quantity") != 0) & (F.col("_cents") != 0)
     return whole.select(
         *frame.columns,

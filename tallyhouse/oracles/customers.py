@@ -37,9 +37,10 @@ def _lifecycle(short: int, mid: int) -> str:
         " min(order_date) AS first_order,"
         " date_diff('day', min(order_date), max(order_date)) AS gap_days"
         " FROM kept_purchase GROUP BY customer_id)"
-        " SELECT *, CASE WHEN gap_days = 0 THEN if(orders = 1, 'One Time', 'Same Day Repeat')"
-        f" WHEN gap_days < {short} THEN 'Short-term' WHEN gap_days < {mid} THEN 'Mid-term'"
-        " ELSE 'Long-term' END || ' Buyer' AS buyer_type FROM c ORDER BY gap_days DESC"
+        " SELECT *, CASE WHEN orders = 1 AND gap_days = 0 THEN 'One Time Buyer'"
+        " WHEN gap_days = 0 THEN 'Same Day Repeat Buyer'"
+        f" WHEN gap_days < {short} THEN 'Short-term Buyer' WHEN gap_days < {mid} THEN 'Mid-term Buyer'"
+        " ELSE 'Long-term Buyer' END AS buyer_type FROM c ORDER BY gap_days DESC"
     )
 
 
@@ -130,8 +131,8 @@ SQL = {
     "q11_04_order_concentration": q(
         ", d AS (SELECT cents, ntile(10) OVER (ORDER BY cents DESC, order_id) AS tile"
         " FROM kept_basket)"
-        " SELECT CASE WHEN tile < 2 THEN 'High' WHEN tile < 6 THEN 'Medium' ELSE 'Low' END"
-        " || '-value orders' AS order_type,"
+        " SELECT CASE WHEN tile < 2 THEN 'High-value orders'"
+        " WHEN tile < 6 THEN 'Medium-value orders' ELSE 'Low-value orders' END AS order_type,"
         f" {pct('sum(cents)', '(SELECT sum(cents) FROM d)')} AS share_percent"
         " FROM d GROUP BY 1 ORDER BY 2 DESC"
     ),

@@ -28,9 +28,9 @@ def _return_rate(keys: str) -> str:
     )
 
 
-def _single(limit: int) -> str:
+def _single(limit: int, few: str, many: str) -> str:
     return q(
-        f" SELECT if(quantity <= {limit}, 'Single', 'Multi') || '-item Order' AS order_type,"
+        f" SELECT if(quantity BETWEEN 1 AND {limit}, '{few}', '{many}') AS order_type,"
         f" {money('sum(cents)')} AS revenue FROM kept_basket GROUP BY 1"
     )
 
@@ -124,10 +124,10 @@ SQL = {
         ", s AS (SELECT list_sort(list_distinct(list(category))) AS items"
         " FROM line JOIN item USING (product_id) GROUP BY order_id)"
         " SELECT array_to_string(items, ', ') AS combination, count(*) AS orders"
-        " FROM s WHERE len(items) > 1 GROUP BY items ORDER BY 2 DESC"
+        " FROM s WHERE len(items) > 1 GROUP BY combination ORDER BY 2 DESC"
     ),
-    "q09_03_single_and_multi_item_revenue": _single(1),
-    "q09_03_single_and_multi_item_revenue_scaled": _single(50),
+    "q09_03_single_and_multi_item_revenue": _single(1, 'Single-item Order', 'Multi-item Order'),
+    "q09_03_single_and_multi_item_revenue_scaled": _single(50, 'Order of 1 to 50 items', 'Other order'),
     "q09_04_basket_types": q(
         ", t AS (SELECT *, quantity * count(*) OVER () >= sum(quantity) OVER () AS large,"
         " cents * CAST(count(*) OVER () AS HUGEINT) >= sum(cents) OVER () AS dear"

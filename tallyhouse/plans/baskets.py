@@ -34,11 +34,17 @@ def combinations_of_categories(t: Tables) -> DataFrame:
     return category_combinations(lines, "order_id", "category").orderBy(F.desc("orders"))
 
 
-@plan("q09_03_single_and_multi_item_revenue", single=50)
-def single_and_multi_item_revenue(t: Tables, single: int = 1) -> DataFrame:
-    """Orders of at most ``single`` items against larger ones; by default exactly one item."""
-    few = F.col("quantity") == 1 if single == 1 else F.col("quantity") <= single
-    kind = F.when(few, labels.SINGLE_ITEM).otherwise(labels.MULTI_ITEM)
+@plan(
+    "q09_03_single_and_multi_item_revenue",
+    single=50,
+    few="Order of 1 to 50 items",
+    many="Other order",
+)
+def single_and_multi_item_revenue(
+    t: Tables, single: int = 1, few: str = labels.SINGLE_ITEM, many: str = labels.MULTI_ITEM
+) -> DataFrame:
+    """Orders of 1 to ``single`` items against the others."""
+    kind = F.when(F.col("quantity").between(1, single), few).otherwise(many)
     return total_by(facts.order_fact(t, facts.NET), (kind.alias("order_type"),)).select(
         "order_type", money(F.col("cents")).alias("revenue")
     )

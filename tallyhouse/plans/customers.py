@@ -21,7 +21,8 @@ LARGE_SPENDS = (850_000, 600_000, 400_000)
 
 def net_spend(t: Tables) -> DataFrame:
     """customer_id, cents, orders (with lines) over non-returned orders."""
-    return segments.customer_value(facts.order_fact(t, facts.NET))
+    sold = facts.order_fact(t, facts.NET).where(F.col("customer_id").isNotNull())
+    return segments.customer_value(sold)
 
 
 def named(t: Tables, customers: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import labels
-from tallyhouse.functions.numbers import money, percent2, ratio2
+from tallyhouse.functions.numbers import money, percent2, ratio2, total
 from tallyhouse.functions.periods import year_month_name
 from tallyhouse.operators import facts, segments
 from tallyhouse.operators.concentration import bucket_share, long_tail
@@ -41,7 +41,7 @@ def top_products_share(t: Tables, k: int = labels.TOP_K) -> DataFrame:
     products = facts.product_fact(t, facts.NET)
     top = top_k_with_ties(products, "cents", "revenue_rank", k)
     return _part_of_total(
-        top.agg(F.sum("cents").alias("top")).withColumn(
+        top.agg(total(F.col("cents")).alias("top")).withColumn(
             "total", total_of(products, "cents")
         )
     )
@@ -70,8 +70,8 @@ def order_concentration(t: Tables) -> DataFrame:
 def top_categories_share(t: Tables) -> DataFrame:
     categories = total_by(facts.product_fact(t, facts.NET, "category"), ("category",))
     tiles = tile_few(categories, "cents", "category", 3, "tile")
-    top = F.sum(F.when(F.col("tile") == 1, F.col("cents")))
-    return tiles.agg(percent2(top, F.sum("cents")).alias("top_percent"))
+    top = total(F.when(F.col("tile") == 1, F.col("cents")))
+    return tiles.agg(percent2(top, total(F.col("cents"))).alias("top_percent"))
 
 
 @plan("q12_01_orders_per_customer")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import labels
-from tallyhouse.functions.numbers import mean_money, money, money_per
+from tallyhouse.functions.numbers import mean_money, money, money_per, total
 from tallyhouse.functions.periods import month_start, year_month_name
 from tallyhouse.operators import facts
 from tallyhouse.operators.growth import period_growth
@@ -133,7 +133,7 @@ def spend_per_customer_by_region(t: Tables) -> DataFrame:
     return (
         spend.join(facts.customer_regions(t), "customer_id")
         .groupBy("region_name")
-        .agg(F.sum("cents").alias("cents"), F.count("cents").alias("customers"))
+        .agg(total(F.col("cents")).alias("cents"), F.count("cents").alias("customers"))
         .select(
             "region_name",
             mean_money(F.col("cents"), F.col("customers")).alias("average_spend"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.numbers import mean_money, money
+from tallyhouse.functions.numbers import mean_money, money, total
 from tallyhouse.functions.periods import month_of, month_start, year_month, year_of
 from tallyhouse.operators import facts
 from tallyhouse.operators.growth import period_growth
@@ -77,7 +77,7 @@ def revenue_by_category(t: Tables) -> DataFrame:
 @plan("q01_05_average_order_value")
 def mean_order_value(t: Tables) -> DataFrame:
     totals = facts.order_values(t).agg(
-        F.sum("cents").alias("cents"), F.count("cents").alias("orders")
+        total(F.col("cents")).alias("cents"), F.count("cents").alias("orders")
     )
     return totals.select(
         mean_money(F.col("cents"), F.col("orders")).alias("average_order_value")
@@ -176,7 +176,7 @@ def top_product_contribution(t: Tables, k: int = 10) -> DataFrame:
     so_far = Window.orderBy(F.desc("cents"), "product_name").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    running = F.sum("cents").over(so_far).cast("double")
+    running = total(F.col("cents")).over(so_far).cast("double")
     return (
         contribution(top_k_with_ties(names, "cents", "revenue_rank", k), "cents", names)
         .withColumn("_total", total_of(names, "cents").cast("double"))

@@ -182,8 +182,9 @@ def load_native(spark: SparkSession, folder: str, fmt: str = "parquet") -> Table
             return spark.read.schema(schema).format(fmt).load(path)
         reader = spark.read.format(fmt)
         if fmt == "csv":
-            # by name, so extra columns (email, phone, ...) may be in the file
-            raw = reader.option("header", True).load(path)
+            # by name, so extra columns (email, phone, ...) may be in the file; a file whose
+            # header differs from the first one's is an error, not read by position
+            raw = reader.option("header", True).option("enforceSchema", False).load(path)
         else:
             raw = reader.schema(
                 T.StructType([T.StructField(f.name, T.StringType()) for f in schema])

@@ -111,9 +111,9 @@ def test_dense_rank_within_groups(spark):
     assert sorted(rows(ranked)) == sorted(rows(plain))
 
 
-def test_null_value_counts_as_zero(spark):
+def test_null_value_is_ranked_below_zero(spark):
     frame = spark.createDataFrame([(1, 5), (2, None), (3, 0)], "id long, v long")
-    assert sorted(rows(with_dense_rank(frame, "v", "r").select("id", "r"))) == [(1, 1), (2, 2), (3, 2)]
+    assert sorted(rows(with_dense_rank(frame, "v", "r").select("id", "r"))) == [(1, 1), (2, 3), (3, 2)]
 
 
 def test_top_k_keeps_every_tie(spark):

@@ -1,9 +1,9 @@
 """Main text of web pages by consensus of their host.
 
 Every page scores its containers: the share of the page's good text (outside menus, notices and other
-furniture) that a container holds, and how deep it lies. In Spark, the scores are summed by host and
-generalised path (tags and classes, digits left out); the best path of each host wins, and every page of the
-host is extracted again from the containers at that path. A page without them uses its own best container.
+furniture) that a container holds, and how deep it lies. It votes for its best one, with that score. In
+Spark, the votes are summed by host and generalised path (tags and classes, digits left out); the path with
+the most votes wins, and every page of the host is extracted again from the containers at that path. A page without them uses its own best container.
 """
 
 from __future__ import annotations
@@ -154,12 +154,10 @@ def _scored(page: str) -> tuple[list[tuple[_Container, str, int]], dict[_Contain
     return good, scores
 
 
-def candidates(page: str | None) -> dict[str, float]:
-    """The best score of each path of a page."""
-    best: dict[str, float] = {}
-    for container, score in _scored(page or "")[1].items():
-        best[container.path] = max(score, best.get(container.path, 0.0))
-    return best
+def best_path(page: str | None) -> tuple[str, float] | None:
+    """The path of a page's best container and its score; nothing for a page without good text."""
+    scores = _scored(page or "")[1]
+    return max(((c.path, s) for c, s in scores.items()), key=lambda x: (x[1], x[0]), default=None)
 
 
 def extract(page: str | None, path: str | None) -> str:
@@ -185,11 +183,13 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sums: dict[tuple[str, str], float] = {}
         for host, page in zip(batch["host"], batch["html"], strict=True):
-            for path, score in candidates(page).items():
+            if best := best_path(page):
+                path, score = best
                 sums[host, path] = sums.get((host, path), 0.0) + score
-        yield pd.DataFrame(
-            {"host": [h for h, _ in sums], "path": [p for _, p in sums], "score": list(sums.values())}
-        )
+        if sums:
+            yield pd.DataFrame(
+                {"host": [h for h, _ in sums], "path": [p for _, p in sums], "score": list(sums.values())}
+            )
 
 
 def host_paths(pages: DataFrame) -> DataFrame:

@@ -42,7 +42,8 @@ CONTEXT, NEAR = 512, 48
 NOVELTY = 0.6
 #: Identifiers of the dictionary and its bytes, at most.
 IDENTIFIERS, DICTIONARY_BYTES = 8_000, 1 << 16
-_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,39}")
+#: Of letters alone: a leaked key that many copies hold must not explain itself.
+_IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z_]{4,40}(?![A-Za-z0-9_])")
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,7 +51,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: Counter = Counter()
         for text in batch["text"]:
             found.update(_IDENTIFIER.findall(text or ""))
-        yield pd.DataFrame({"word": list(found), "n": list(found.values())})
+        if found:
+            yield pd.DataFrame({"word": list(found), "n": list(found.values())})
 
 
 def identifier_dictionary(docs: DataFrame, text: str = "text") -> bytes:

@@ -196,9 +196,9 @@ def _counted(model: np.ndarray):
                 for text, toxic in zip(part["text"], part["toxic"], strict=True):
                     sums[bool(toxic)].update(_held(restore, text))
                 for toxic, found in sums.items():
-                    yield pd.DataFrame(
-                        {"feature": list(found), "hits": [n * toxic for n in found.values()], "n": list(found.values())}
-                    )
+                    if found:
+                        n = list(found.values())
+                        yield pd.DataFrame({"feature": list(found), "hits": [x * toxic for x in n], "n": n})
 
     return count
 
@@ -214,7 +214,8 @@ def _voted(model: np.ndarray, bounds: dict[str, float]):
                 held = [(bounds[f], f[-1] != "*", f) for f in _held(restore, text)]
                 if held:
                     votes[max(held)[2]] += 1
-        yield pd.DataFrame({"feature": list(votes), "votes": list(votes.values())})
+        if votes:
+            yield pd.DataFrame({"feature": list(votes), "votes": list(votes.values())})
 
     return vote
 

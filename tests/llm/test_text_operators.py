@@ -1,0 +1,351 @@
+"""Text operators on rows that the tables lack: nulls, empty and long texts, repeats, clashing names."""
+
+from __future__ import annotations
+
+import random
+import string
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tallyhouse.llm import decontaminate, mixing, naming, pages, preferences, secret_scan, sharding, simhash, tokens, toxicity
+from tallyhouse.llm.components import components
+from tallyhouse.llm.store import Spool, new_folder, shared_folder
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row int, doc string, size string, key int, name string"
+LONG = " ".join(f"word{i}" for i in range(60_000))
+EDGES = [
+    (1, "a plain text of some words", "en", "s1", 26, 1, "x", "y", 2, "z"),
+    (1, "a plain text of some words", "en", "s1", 26, 1, "x", "y", 2, "z"),
+    (2, "a plain text of some words", "en", None, 26, None, None, None, None, None),
+    (3, "", "en", "s1", 0, 1, "x", "y", 2, "z"),
+    (4, None, None, "s2", None, 1, "x", "y", 2, "z"),
+    (None, "no name here", "en", "s2", 12, 1, "x", "y", 2, "z"),
+    (None, None, None, None, None, None, None, None, None, None),
+    (5, LONG, "en", "s3", len(LONG), 1, "x", "y", 2, "z"),
+    (6, " \t\n  \U0001f600 é", "fr", "s3", 9, 1, "x", "y", 2, "z"),
+]
+BENCHMARK = "item_id long, text string, extra int"
+ITEMS = [(1, "some words", 1), (None, "no name", None), (2, None, 1), (3, "", 1), (4, " ".join(f"word{i}" for i in range(100, 130)), 1)]
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    return spark.createDataFrame(EDGES, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame(ITEMS, BENCHMARK).write.parquet(f"{path}/benchmark.parquet")
+    labels = [(1, 1, 0), (1, 1, None), (None, 1, 1), (3, 0, 0), (5, None, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_stages_keep_columns_and_rows_without_cause_to_go(spark, edges, folder):
+    toxic, near, clean, mixed, sharded = (stage for _, stage in corpus_pipeline.STAGES)
+    for stage in (toxic, near, clean, mixed):
+        assert stage(spark, edges, folder).columns == edges.columns
+    assert toxic(spark, edges, folder).count() == len(EDGES)
+    kept = near(spark, edges, folder).collect()
+    assert sorted(r["doc_id"] or -1 for r in kept) == [-1, 1, 3, 5, 6]
+    left = clean(spark, edges, folder).collect()
+    assert sorted((r["doc_id"] or -1 for r in left)) == [-1, 3, 4, 6]
+    placed = sharded(spark, edges, folder).collect()
+    assert len(placed) == len(EDGES)
+    assert sorted(r["size"] for r in placed) == sorted(8 + len((e[1] or "").encode()) for e in EDGES)
+
+
+def test_stages_of_empty_tables(spark, folder):
+    empty = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).collect() == []
+
+
+def test_stages_do_what_they_say_to_the_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    spool, counts = Spool(spark, "test"), [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, spool.write(stage(spark, docs, folder))
+        counts.append(docs.count())
+        if name == "mixing":
+            words = mixing.word_count(F.col("text"))
+            total = before.agg(F.sum(words)).first()[0]
+            assert docs.agg(F.sum(words)).first()[0] == pytest.approx(1.5 * total, rel=0.1)
+            assert docs.groupBy("doc_id").count().where("count > 2").isEmpty()
+        elif name != "sharding":
+            assert docs.exceptAll(before).isEmpty()
+    assert counts[0] >= counts[1] >= counts[2] >= counts[3]
+    assert corpus_pipeline.run(spark, folder).count() == counts[-1]
+
+
+def test_mix_of_null_sources_and_repeated_rows(edges):
+    rows = mixing.mix(edges, keep=["doc_id"]).collect()
+    assert len(rows) == len(EDGES)
+    assert {r["source"] for r in rows} == {None, "s1", "s2", "s3"}
+    one = [r["taken"] for r in rows if r["doc"]["doc_id"] == 1]
+    assert one[0] == one[1]
+    assert all(r["copies"] in (0, 1, 2) for r in rows)
+    assert mixing.mix(edges).count() == len(EDGES)
+
+
+def test_mix_reruns_agree(edges):
+    first, again = (sorted(map(str, mixing.mix(edges, keep=["doc_id"]).collect())) for _ in range(2))
+    assert first == again
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_block_names_are_equal_for_equal_texts_only(spark, weak):
+    random.seed(3)
+    texts = ["".join(random.choice("ab") for _ in range(random.randrange(0, 40))) for _ in range(300)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    options = {"digest": lambda block: F.pmod(F.crc32(block), F.lit(3))} if weak else {}
+    rows = naming.block_names(docs, block_bytes=4, **options).collect()
+    names: dict = {}
+    for r in rows:
+        names.setdefault((r["blocks"], r["name"]), set()).add(r["doc"]["text"] or "")
+    assert all(len(x) == 1 for x in names.values())
+    assert len(names) == len({t or "" for t in texts})
+
+
+def test_exact_duplicates_of_edges(edges):
+    rows = naming.exact_duplicates(edges, keep=["doc_id"]).collect()
+    assert sum(r["kept"] for r in rows) == len({e[1] or "" for e in EDGES})
+    plain = [r for r in rows if r["keep_id"] == 2]
+    assert [r["group_size"] for r in plain] == [3, 3, 3] and sum(r["kept"] for r in plain) == 1
+    assert naming.exact_duplicates(edges.limit(0)).collect() == []
+
+
+def test_halves_that_differ_in_one_bit_meet_at_a_home_anchor():
+    random.seed(5)
+    half = np.array([random.getrandbits(32) for _ in range(300)], np.int64)
+    home, _ = simhash._home(half)
+    for bit in [None, *range(32)]:
+        other = half if bit is None else half ^ (1 << bit)
+        at, anchor, _ = simhash._anchors(other)
+        sent = set(zip(at.tolist(), anchor.tolist(), strict=True))
+        assert all((i, a) in sent for i, a in enumerate(home.tolist()))
+
+
+@pytest.mark.parametrize("block", [8, 4096])
+def test_links_connect_what_brute_force_connects(spark, block):
+    random.seed(7)
+    seeds = [random.getrandbits(64) for _ in range(6)]
+    prints = set(seeds)
+    for seed in seeds[:3]:
+        for _ in range(120):
+            prints.add(seed ^ sum(1 << b for b in random.sample(range(64), random.randrange(1, 6))))
+    values = [p - (1 << 64) if p >> 63 else p for p in sorted(prints)]
+    spool = Spool(spark, "test")
+    frame = spool.write(spark.createDataFrame([(v,) for v in values], "fp long"))
+    found = components(simhash.links(frame, spool, 3, block), spool).collect()
+    root = {v: v for v in values} | {r["node"]: r["root"] for r in found}
+    expected = {v: v for v in values}
+
+    def find(v):
+        while expected[v] != v:
+            v = expected[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= 3:
+                x, y = sorted((find(a), find(b)))
+                expected[y] = x
+    assert root == {v: find(v) for v in values}
+
+
+def test_components_of_long_chains(spark):
+    chain = [(i, i + 1) for i in range(60)] + [(200, 100), (100, 300), (400, 400)]
+    rows = components(spark.createDataFrame(chain, "a long, b long"), Spool(spark, "test")).collect()
+    assert {r["node"]: r["root"] for r in rows} == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_one_text_many_rows_in_shards(spark):
+    docs = spark.createDataFrame([(i, "same text" if i % 3 else f"text {i}") for i in range(600)], "doc_id long, text string")
+    rows = sharding.shard(docs, 8).collect()
+    sums = np.zeros(8)
+    for r in rows:
+        sums[r["shard"]] += r["size"]
+    assert sums.max() - sums.min() <= 4 * 20
+    assert len({(r["shard"], r["slot"]) for r in rows}) == 600
+
+
+def test_window_occurrences_exact_near_and_in_blocks(spark):
+    words = "one two three four five six seven eight nine ten".split()
+    docs = spark.createDataFrame(
+        [
+            (1, "Before ONE two, three four five six seven eight nine ten after"),
+            (2, "one two three four five six seven eight nine extra ten"),
+            (3, "one two three four five six seven eight nine"),
+            (4, " ".join(words * 2)),
+            (5, None),
+        ],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "nine"), (9, None)], "item_id long, text string")
+    index = decontaminate.build_index(docs, new_folder(spark, "test-index"))
+    windows = decontaminate.item_windows(items)
+    for block in (1, 1000):
+        rows = {r["id"]: r for r in decontaminate.search(index, windows, slop=1, block=block).collect()}
+        assert len(rows) == 5
+        assert sorted(rows["1"]["items"]) == ["7", "8"] and rows["1"]["near_items"] == []
+        assert rows["2"]["items"] == ["8"] and rows["2"]["near_items"] == ["7"]
+        assert rows["3"]["items"] == ["8"] and rows["3"]["near_items"] == []
+        assert sorted(rows["4"]["items"]) == ["7", "8"]
+        assert rows["5"]["words"] == 0 and rows["5"]["items"] == []
+        hits = decontaminate.search(index, windows, block=block).select("id", decontaminate.words_hit().alias("n"))
+        assert {r["id"]: r["n"] for r in hits.collect()} == {"1": 10, "2": 1, "3": 1, "4": 20, "5": 0}
+
+
+def test_words_across_pieces(monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE", 7)
+    text = "alpha beta-gamma DELTA éa " + "x" * 30 + " end"
+    found = [w for part in decontaminate._words(text) for w in part]
+    assert found == [w.encode() for w in ["alpha", "beta", "gamma", "delta", "éa", "x" * 30, "end"]]
+
+
+def test_obfuscated_words_are_restored(spark):
+    sentence = "you are an idiot and a stupid clown but the loser is not an idiot at all "
+    docs = spark.createDataFrame([(i, sentence * 5) for i in range(20)], "doc_id long, text string")
+    restore = toxicity.Restorer(toxicity.character_model(docs))
+    for said, meant in {
+        "1d10t": "idiot", "i d i o t": "idiot", "i.d.i.o.t": "idiot", "stuuuupid": "stupid", "$tup1d": "stupid",
+        "cl0wn": "clown", "l-o-s-e-r": "loser", "Plain words, 2024!": "plain words, 2024!", "": "", "thé***": "the***",
+    }.items():
+        assert restore(said) == meant
+
+
+def test_toxicity_without_labels_and_of_edges(spark, edges):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    fitted = toxicity.learn(edges, none)
+    assert [r[0] for r in edges.select(fitted.score(F.col("text"))).collect()] == [0.0] * len(EDGES)
+
+
+def test_insults_are_found_in_obfuscated_texts(spark):
+    random.seed(2)
+    vocabulary = ["".join(random.choice(string.ascii_lowercase) for _ in range(5)) for _ in range(500)]
+    docs, labels = [], []
+    for i in range(400):
+        words, toxic = random.choices(vocabulary, k=30), i % 5 == 0
+        if toxic:
+            words[7] = "clown" if i % 10 else "cl0wn"
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs.append((1000, " ".join([*vocabulary[:20], "c l o w n"])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    fitted = toxicity.learn(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scores = {r[0]: r[1] for r in frame.select("doc_id", fitted.score(F.col("text"))).collect()}
+    assert scores[1000] >= 0.3
+    assert all((scores[i] >= 0.3) == (i % 5 == 0) for i in range(400))
+
+
+def test_novel_strings_near_sensitive_words(spark):
+    random.seed(4)
+    key = "".join(random.choice(string.ascii_letters + string.digits) for _ in range(40))
+    texts = [
+        f"my credential is {key} ok",
+        f"my picture is {key} ok",
+        "my credential is zzzzzzzz1zzzzzzzz1zzzzzzzz1zzzzzzzz1 ok",
+        f"{key} and again the credential {key}",
+        None,
+        "",
+        "password = 'abcdefgh1' PASSWORD:short token=İ",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc"]["doc_id"]: [tuple(s) for s in r["spans"]] for r in secret_scan.scan(docs).collect()}
+    assert rows[0] == [("novel", 17, 57)]
+    assert rows[1] == rows[2] == rows[4] == rows[5] == []
+    assert rows[3] == []
+    assert rows[6] == [("assign", 0, 21)]
+
+
+def test_main_text_of_furnished_pages(spark):
+    def page(body, notice="We use cookies"):
+        return (
+            f"<html><head><title>T</title><script>if (a<b) x='</p>'</script></head><body><div class='cookie-notice'><p>{notice}</p></div>"
+            f"<header><h1>Site</h1></header><div id=main class='post p12'>{body}<div class=comments><p>First!</p></div></div>"
+            "<aside>Links</aside><form><p>Search</p></form><footer>End</footer></body></html>"
+        )
+
+    rows = [
+        (1, "http://h.example/1", page("<h2>A &amp; B</h2><p>One\n  two&nbsp;three<p>Four <b>five</b><br>six<!-- no -->")),
+        (2, "http://h.example/2", page("<p>" + "long text " * 50 + "</p>")),
+        (3, "http://h.example/3", page("<p>x</p>", notice="A notice longer than the text " * 9)),
+        (4, "http://h.example/4", None),
+        (5, None, "just &lt;text&gt;"),
+        (6, "", ""),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["doc"]["page_id"]: r["text"] for r in pages.main_text(frame).collect()}
+    assert texts == {
+        1: "A & B\nOne two three\nFour five six", 2: ("long text " * 50).strip(), 3: "x", 4: "", 5: "just <text>", 6: "",
+    }
+    assert pages.main_text(frame.limit(0)).collect() == []
+
+
+def test_host_path_wins_over_a_page_s_own_best(spark):
+    def page(article, teaser):
+        return f"<body><div class=text>{article}</div><div class=teaser>{teaser}</div></body>"
+
+    rows = [(i, "https://h.example/x", page("<p>" + "a b c " * 30 + "</p>", "<p>t</p>")) for i in range(5)]
+    rows.append((9, "https://h.example/y", page("<p>short</p>", "<p>" + "tease " * 40 + "</p>")))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["doc"]["page_id"]: r["text"] for r in pages.main_text(frame).collect()}
+    assert texts[9] == "short"
+
+
+def test_tokens_are_encoded_once(spark, tmp_path):
+    import public_tokenizers
+
+    file, cache = public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "cache")
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, None), (4, "")], "doc_id long, text string")
+    first = {r["doc"]["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(docs, file, cache).collect()}
+    assert first == {1: 2, 2: 2, 3: 0, 4: 0}
+    stored = spark.read.parquet(cache)
+    assert stored.count() == 2
+    more = docs.unionByName(spark.createDataFrame([(5, "new <|endoftext|>")], docs.schema))
+    again = {r["doc"]["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(more, file, cache).collect()}
+    assert again == {**first, 5: 3}
+    assert spark.read.parquet(cache).count() == 3
+    piece = public_tokenizers.path("piece_bpe_32k.model")
+    other = {r["doc"]["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(docs, piece, cache).collect()}
+    assert other[3] == 0 and other[1] > 0
+    assert spark.read.parquet(cache).count() == 5
+
+
+def test_preference_pairs(spark):
+    rows = [
+        (1, True, 0, "user", "hi"), (1, True, 1, "assistant", "good"), (1, True, 2, "user", "ok"),
+        (1, False, 0, "user", "hi"), (1, False, 1, "assistant", "bad"),
+        (2, True, 0, "user", None), (2, False, 0, "user", None), (2, False, 1, None, "x"),
+        (3, True, 0, "user", "alone"), (None, True, 0, "user", "lost"), (4, None, 0, "user", "lost"),
+    ]
+    frame = spark.createDataFrame(rows, "p long, c boolean, turn long, role string, text string")
+    found = {r["pair"]: r for r in preferences.format_pairs(frame, F.col("p"), F.col("c")).collect()}
+    assert set(found) == {1, 2, 3}
+    one = found[1]
+    assert (one["shared"], one["prompt"]) == (1, "<|user|>\nhi\n<|end|>\n")
+    learnt = lambda r, side: [r[side][s["start"] : s["end"]] for s in r[f"{side}_mask"]]
+    assert learnt(one, "chosen") == ["good\n<|end|>\n"] and learnt(one, "rejected") == ["bad\n<|end|>\n"]
+    assert one["complete"] and not found[2]["complete"] and not found[3]["complete"]
+    assert (found[2]["shared"], found[2]["chosen"], found[2]["rejected"]) == (1, "", "<||>\nx\n<|end|>\n")
+    assert (found[3]["shared"], found[3]["prompt"], found[3]["rejected"]) == (0, "", "")
+
+
+def test_preference_plan_runs_no_python(spark):
+    frame = spark.createDataFrame([(0, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    plan = preferences.format_pairs(frame, F.col("conv_id"), F.col("turn") == 0)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and text.count("Exchange") == 1
+
+
+def test_shared_folder_is_the_session_s():
+    class Session:
+        conf = {"spark.checkpoint.dir": "hdfs://x/y/"}
+
+    assert shared_folder(Session()) == "hdfs://x/y"

@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.store import Spool
+
 # The patterns, in the order in which kinds are listed, and the least length of a group.
 PATTERNS = {
     "assign": (
@@ -56,16 +58,28 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def identifier_dictionary(docs: DataFrame, text: str = "text") -> bytes:
-    """The most frequent identifiers over all texts, the most frequent last, where zstandard looks first."""
-    top = (
+    """The most frequent identifiers over all texts, the most frequent last, where zstandard looks first.
+
+    How many words have how many binary digits in their count says from which count on they can be among
+    the most frequent; only those are sorted, so tasks send few words to the driver.
+    """
+    spool = Spool(docs.sparkSession, "identifiers")
+    counts = spool.write(
         docs.select(F.col(text).alias("text"))
         .mapInPandas(_counted, "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(IDENTIFIERS)
-        .collect()
     )
+    words, least = 0, 1
+    digits = counts.groupBy(F.length(F.bin("n")).alias("digits")).agg(F.count("*").alias("words"))
+    for row in sorted(digits.collect(), reverse=True):
+        words, least = words + row["words"], 1 << (row["digits"] - 1)
+        if words >= IDENTIFIERS:
+            break
+    top = (
+        counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(IDENTIFIERS).collect()
+    )
+    spool.drop(counts)
     return "\n".join(r["word"] for r in reversed(top)).encode()[-DICTIONARY_BYTES:]
 
 

@@ -140,7 +140,7 @@ class Restorer:
     `derive` says what is kept of a restored token; by default the token itself.
     """
 
-    def __init__(self, model: np.ndarray, derive=lambda token: token, kept: int = 300_000):
+    def __init__(self, model: np.ndarray, derive=lambda token: token, kept: int = 60_000):
         self.model, self.derive, self.kept, self.seen = model, derive, kept, {}
 
     def _run(self, match: re.Match) -> str:

@@ -68,6 +68,8 @@ def order_line_fact(
 ) -> DataFrame:
     """One row per line (O3), joining only the tables the wanted columns need.
 
+    Orders meet customers and regions before they meet lines, so those joins shuffle orders, not lines.
+
     Columns: order_id, product_id, quantity, cents, product_name, category,
     customer_id, order_date, is_returned, customer_name, region_id, region_name.
     """
@@ -81,18 +83,19 @@ def order_line_fact(
 
     fact = tables.lines.select("order_id", "product_id", _quantity().alias("quantity"))
     if returns != ALL or any(c in wanted for c in from_order + from_customer):
-        fact = fact.join(by_returns(tables.orders, returns), "order_id")
+        sold = by_returns(tables.orders, returns)
+        if "region_id" in wanted or "region_name" in wanted:
+            sold = sold.join(tables.customers, "customer_id")
+        elif "customer_name" in wanted:
+            sold = sold.join(tables.customer_names, "customer_id")
+        if "region_name" in wanted:
+            sold = sold.join(tables.regions, "region_id")
+        fact = fact.join(sold, "order_id")
     if any(c in wanted for c in (*from_product, "cents")):
         prices = tables.products.withColumn("price_cents", cents(F.col("price")))
         fact = fact.join(prices, "product_id").withColumn(
             "cents", F.col("quantity") * F.col("price_cents")
         )
-    if "region_id" in wanted or "region_name" in wanted:
-        fact = fact.join(tables.customers, "customer_id")
-    elif "customer_name" in wanted:
-        fact = fact.join(tables.customer_names, "customer_id")
-    if "region_name" in wanted:
-        fact = fact.join(tables.regions, "region_id")
     return fact.select(*wanted)
 
 
@@ -117,6 +120,25 @@ def order_category_fact(tables: Tables, returns: str = ALL) -> DataFrame:
     return per_order.join(orders_of(tables, returns), "order_id")
 
 
+def order_categories(tables: Tables, returns: str = ALL) -> DataFrame:
+    """One row per order and category in it, without sums: the orders are shuffled once.
+
+    An order holds its distinct categories, at most as many as the product table has;
+    a null category is one of them.
+    """
+    categories = tables.products.select("product_id", F.struct("category").alias("kind"))
+    per_order = (
+        tables.lines.join(categories, "product_id")
+        .groupBy("order_id")
+        .agg(F.collect_set("kind").alias("kinds"))
+    )
+    return (
+        per_order.join(orders_of(tables, returns), "order_id")
+        .withColumn("kind", F.explode("kinds"))
+        .select("order_id", "kind.category", "customer_id", "orders", "returned")
+    )
+
+
 def order_product_fact(tables: Tables, returns: str = ALL) -> DataFrame:
     """One row per order and product in it, so rows count distinct orders."""
     per_order = tables.lines.groupBy("order_id", "product_id").agg(

@@ -4,69 +4,71 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.sources.tables import Tables
 
-KEYS = {
-    "regions": "region_id",
-    "customers": "customer_id",
-    "products": "product_id",
-    "orders": "order_id",
-}
-REFERENCES = (
-    ("customers", "region_id", "regions"),
-    ("orders", "customer_id", "customers"),
-    ("lines", "order_id", "orders"),
-    ("lines", "product_id", "products"),
+#: Table, its key, and the table and column that refer to it.
+LINKS = (
+    ("regions", "region_id", "customers"),
+    ("customers", "customer_id", "orders"),
+    ("products", "product_id", "lines"),
+    ("orders", "order_id", "lines"),
 )
 
 
+def _counted(frame: DataFrame, key: str, name: str, **more: Column) -> DataFrame:
+    """Rows per key as ``name``, and further sums."""
+    one = F.count(F.lit(1)).alias(name)
+    return frame.groupBy(key).agg(one, *[F.sum(c).alias(n) for n, c in more.items()])
+
+
+def _as_rows(frame: DataFrame, found: dict[str, Column]) -> DataFrame:
+    """check, violations: one row for each sum over the frame, 0 for none."""
+    sums = [
+        F.struct(F.lit(check).alias("check"), F.coalesce(F.sum(n), F.lit(0).cast("long")).alias("violations"))
+        for check, n in found.items()
+    ]
+    return frame.agg(F.array(*sums).alias("_rows")).select(F.inline("_rows"))
+
+
 def integrity_report(tables: Tables) -> DataFrame:
     """check, violations: one row per rule, 0 where the rule holds.
 
-    Duplicates count surplus rows, orphans count referring rows; a null reference
-    is no orphan. References are counted per key before they meet the other
-    table, so a key with many rows is one row in the join.
+    Null keys count rows without a key; they are no duplicates. Duplicates count
+    surplus rows, orphans count referring rows; a null reference is no orphan. Lines
+    have a key of their own, ``order_detail_id``, only in layouts that hold one.
+
+    Both sides of a reference are counted per key before they meet in one outer join,
+    which answers every rule about that key: a key with many rows is one row there.
     """
     checks = []
-    for table, key in KEYS.items():
-        per_key = getattr(tables, table).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    for table, key, referring in LINKS:
+        extra = {"unflagged": F.col("is_returned").isNull().cast("long")} if table == "orders" else {}
+        own = _counted(getattr(tables, table), key, "own", **extra)
+        others = _counted(getattr(tables, referring), key, "others")
+        own_rows, known = F.col("own"), F.col(key).isNotNull()
+        found = {
+            f"null {table}.{key}": F.when(~known, own_rows),
+            f"duplicate {table}.{key}": F.when(known, own_rows - 1),
+            f"orphan {referring}.{key}": F.when(known & own_rows.isNull(), F.col("others")),
+        }
+        if table == "orders":
+            found["orders without lines"] = F.when(F.col("others").isNull(), own_rows)
+            found["orders without return flag"] = F.col("unflagged")
+        checks.append(_as_rows(own.join(others, key, "full"), found))
+    lines = tables.line_keys
+    if lines is not None:
+        key, own_rows = "order_detail_id", F.col("own")
+        known = F.col(key).isNotNull()
         checks.append(
-            per_key.where(F.col("n") > 1).agg(
-                F.lit(f"duplicate {table}.{key}").alias("check"),
-                F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"),
+            _as_rows(
+                _counted(lines, key, "own"),
+                {
+                    f"null lines.{key}": F.when(~known, own_rows),
+                    f"duplicate lines.{key}": F.when(known, own_rows - 1),
+                },
             )
         )
-    for table, key, target in REFERENCES:
-        per_key = (
-            getattr(tables, table)
-            .where(F.col(key).isNotNull())
-            .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        orphans = per_key.join(getattr(tables, target).select(key), key, "left_anti")
-        checks.append(
-            orphans.agg(
-                F.lit(f"orphan {table}.{key}").alias("check"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("violations"),
-            )
-        )
-    empty = tables.orders.join(
-        tables.lines.select("order_id").distinct(), "order_id", "left_anti"
-    )
-    checks.append(
-        empty.agg(
-            F.lit("orders without lines").alias("check"),
-            F.count(F.lit(1)).alias("violations"),
-        )
-    )
-    unflagged = tables.orders.where(F.col("is_returned").isNull())
-    checks.append(
-        unflagged.agg(
-            F.lit("orders without return flag").alias("check"),
-            F.count(F.lit(1)).alias("violations"),
-        )
-    )
     return reduce(DataFrame.unionAll, checks)

@@ -152,14 +152,22 @@ SQL = {
     ),
     "check_integrity": q(
         """
-        SELECT 'duplicate regions.region_id' AS "check",
-               count(*) - count(DISTINCT r_regionkey) AS violations FROM region
+        SELECT 'null regions.region_id' AS "check",
+               count(*) - count(r_regionkey) AS violations FROM region
+        UNION ALL SELECT 'duplicate regions.region_id',
+               count(r_regionkey) - count(DISTINCT r_regionkey) FROM region
+        UNION ALL SELECT 'null customers.customer_id',
+               count(*) - count(c_custkey) FROM customer
         UNION ALL SELECT 'duplicate customers.customer_id',
-               count(*) - count(DISTINCT c_custkey) FROM customer
+               count(c_custkey) - count(DISTINCT c_custkey) FROM customer
+        UNION ALL SELECT 'null products.product_id',
+               count(*) - count(p_partkey) FROM part
         UNION ALL SELECT 'duplicate products.product_id',
-               count(*) - count(DISTINCT p_partkey) FROM part
+               count(p_partkey) - count(DISTINCT p_partkey) FROM part
+        UNION ALL SELECT 'null orders.order_id',
+               count(*) - count(o_orderkey) FROM orders
         UNION ALL SELECT 'duplicate orders.order_id',
-               count(*) - count(DISTINCT o_orderkey) FROM orders
+               count(o_orderkey) - count(DISTINCT o_orderkey) FROM orders
         UNION ALL SELECT 'orphan customers.region_id', count(*) FROM customer
                LEFT JOIN nation ON c_nationkey = n_nationkey
                LEFT JOIN region ON n_regionkey = r_regionkey

@@ -147,7 +147,7 @@ def new_and_repeat_revenue(t: Tables) -> DataFrame:
 
 @plan("q02_09_order_frequency_rank")
 def order_frequency_rank(t: Tables) -> DataFrame:
-    return with_dense_rank(_orders_per_customer(t), "orders", "frequency_rank").select(
+    return with_dense_rank(_orders_per_customer(t), "orders", "frequency_rank", counts=True).select(
         "customer_id", "orders", "frequency_rank"
     )
 

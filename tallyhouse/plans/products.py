@@ -95,7 +95,7 @@ def return_rate_by_product(t: Tables) -> DataFrame:
 
 @plan("q03_04_return_rate_by_category")
 def return_rate_by_category(t: Tables) -> DataFrame:
-    return return_rate(facts.order_category_fact(t), "category").transform(
+    return return_rate(facts.order_categories(t), "category").transform(
         sort_few, F.desc("return_rate_percent")
     )
 

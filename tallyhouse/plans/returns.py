@@ -19,7 +19,7 @@ RATE = ("returned_orders", "total_orders", "return_rate_percent")
 
 @plan("q06_01_return_rate_by_category")
 def return_rate_by_category(t: Tables) -> DataFrame:
-    return return_rate(facts.order_category_fact(t), "category").transform(
+    return return_rate(facts.order_categories(t), "category").transform(
         sort_few, F.desc("return_rate_percent")
     )
 
@@ -34,7 +34,7 @@ def return_rate_by_region(t: Tables) -> DataFrame:
 def return_rate_by_region_and_category(t: Tables) -> DataFrame:
     region = ("region_id", "region_name")
     located = facts.regional(
-        t, facts.order_category_fact(t), ("returned", "orders"), ("category",), region
+        t, facts.order_categories(t), ("returned", "orders"), ("category",), region
     )
     return return_rate(located, *region, "category").transform(
         sort_few, F.desc("return_rate_percent")

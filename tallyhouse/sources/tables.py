@@ -23,6 +23,7 @@ class Tables:
     products        product_id, product_name, category, price
     orders          order_id, customer_id, order_date, is_returned
     lines           order_id, product_id, quantity
+    line_keys       order_detail_id, or None where the layout holds no such column
 
     A table is opened when a report first asks for it, so a report lists no files
     of the others. Where a layout reaches the region through another table, name
@@ -96,15 +97,25 @@ STAR = {
 
 def from_frames(**frames: DataFrame) -> Tables:
     """Tables over the five frames that already have the logical columns."""
-    return _native(lambda name: frames[name])
+    return _native(lambda name: frames[name], lambda: frames["lines"])
 
 
-def _native(open_table: Callable[[str], DataFrame]) -> Tables:
+def _native(open_table: Callable[[str], DataFrame], open_lines: Callable[[], DataFrame]) -> Tables:
+    """``open_lines`` opens the lines with all columns of the files."""
+
     def names() -> DataFrame:
         return open_table("customers").select("customer_id", "customer_name")
 
+    def line_keys() -> DataFrame | None:
+        lines = open_lines()
+        if "order_detail_id" not in lines.columns:
+            return None
+        return lines.select(F.col("order_detail_id").cast("long").alias("order_detail_id"))
+
     return Tables(
-        customer_names=names, **{name: partial(open_table, name) for name in NATIVE}
+        customer_names=names,
+        line_keys=line_keys,
+        **{name: partial(open_table, name) for name in NATIVE},
     )
 
 
@@ -165,6 +176,7 @@ def load_star(spark: SparkSession, folder: str) -> Tables:
         products=products,
         orders=orders,
         lines=lines,
+        line_keys=lambda: None,
     )
 
 
@@ -191,4 +203,7 @@ def load_native(spark: SparkSession, folder: str, fmt: str = "parquet") -> Table
             ).load(path)
         return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
-    return _native(scan)
+    def whole_lines() -> DataFrame:
+        return spark.read.format(fmt).option("header", True).load(f"{folder}/lines")
+
+    return _native(scan, whole_lines)

@@ -128,6 +128,28 @@ def test_lines_and_orders_are_scanned_once(spark, star, settings, name):
     assert executed_scans(PLANS[name](star), "o_") <= 1 + (name in TWO_LOOKS)
 
 
+def test_integrity_scans_lines_and_orders_once_for_each_of_their_references(spark, star, settings):
+    settings(**SHUFFLED)
+    assert executed_scans(PLANS["check_integrity"](star), "l_") == 2
+    assert executed_scans(PLANS["check_integrity"](star), "o_") == 2
+
+
+def test_customers_and_regions_meet_orders_before_lines(star):
+    found = []
+
+    def walk(node):
+        condition = str(node.condition()) if node.nodeName() == "Join" else ""
+        if "c_custkey" in condition or "r_regionkey" in condition:
+            found.append(node.toString())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(PLANS["fact_order_lines"](star)._jdf.queryExecution().optimizedPlan())
+    assert found
+    assert not any("l_orderkey" in joined for joined in found)
+
+
 @pytest.mark.parametrize(
     "name",
     ["q11_01_top_decile_of_customers", "q11_03_long_tail_of_products",

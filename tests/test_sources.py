@@ -8,7 +8,7 @@ from conftest import rows
 from tallyhouse.operators.integrity import integrity_report
 from tallyhouse.plans import PLANS
 from tallyhouse.sources.ingest import write_native
-from tallyhouse.sources.tables import NATIVE, Tables, load_native
+from tallyhouse.sources.tables import NATIVE, Tables, from_frames, load_native
 
 SHOP = dict(
     regions=(1, 2),
@@ -72,6 +72,10 @@ def test_integrity_report_finds_each_fault(shop):
         lines=[(1, 1, 1), (7, 1, 1), (7, 6, 1), (2, 5, 1)],
     )
     assert dict(rows(integrity_report(t))) == {
+        "null regions.region_id": 0,
+        "null customers.customer_id": 0,
+        "null products.product_id": 0,
+        "null orders.order_id": 0,
         "duplicate regions.region_id": 1,
         "duplicate customers.customer_id": 0,
         "duplicate products.product_id": 2,
@@ -85,6 +89,32 @@ def test_integrity_report_finds_each_fault(shop):
     }
 
 
+def test_integrity_report_of_null_and_line_keys(spark, shop):
+    t = shop(
+        regions=(1,),
+        customers=[(1, 1), (None, 1), (None, None)],
+        products=[(1, "1.00"), (None, "1.00")],
+        orders=[(1,), (None, None, "2024-01-01", None)],
+        lines=[(1, 1, 1), (None, None, 1)],
+    )
+    found = dict(rows(integrity_report(t)))
+    assert {check: n for check, n in found.items() if n} == {
+        "null customers.customer_id": 2,
+        "null products.product_id": 1,
+        "null orders.order_id": 1,
+        "orders without lines": 1,
+        "orders without return flag": 1,
+    }
+    numbered = spark.createDataFrame(
+        [(5, 1, 1, 1), (5, 1, 1, 1), (None, 1, 1, 1)],
+        "order_detail_id long, order_id long, product_id long, quantity int",
+    )
+    names = ("regions", "customers", "products", "orders")
+    keyed = from_frames(lines=numbered, **{name: getattr(t, name) for name in names})
+    found = dict(rows(integrity_report(keyed)))
+    assert (found["null lines.order_detail_id"], found["duplicate lines.order_detail_id"]) == (1, 1)
+
+
 def test_a_table_is_opened_once_and_only_when_asked_for():
     opened = []
 

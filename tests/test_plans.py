@@ -139,7 +139,7 @@ def test_customers_and_regions_meet_orders_before_lines(star):
 
     def walk(node):
         condition = str(node.condition()) if node.nodeName() == "Join" else ""
-        if "c_custkey" in condition or "r_regionkey" in condition:
+        if "customer_id" in condition or "region_id" in condition:
             found.append(node.toString())
         children = node.children()
         for i in range(children.size()):

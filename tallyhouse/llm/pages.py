@@ -27,6 +27,8 @@ _CONTAINERS = frozenset(
 _BLOCKS = _CONTAINERS | frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pre address figcaption caption hr summary legend option".split()
 )
+#: Their classes say what a page has ("has-sidebar"), not what they are.
+_FRAMES = frozenset("html body main".split())
 _FURNITURE_TAGS = frozenset("nav header footer aside form dialog menu select button head".split())
 _FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar "
@@ -68,6 +70,8 @@ def _furniture(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I) or attrs.get("aria-hidden") == "true":
         return True
+    if tag in _FRAMES:
+        return False
     names = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}")
     return not _FURNITURE_WORDS.isdisjoint(re.findall("[a-z]+", names.lower()))
 

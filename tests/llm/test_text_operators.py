@@ -288,6 +288,12 @@ def test_main_text_of_furnished_pages(spark):
     assert pages.main_text(frame.limit(0)).collect() == []
 
 
+def test_classes_of_the_page_itself_hide_nothing():
+    page = "<html class='cookie-consent'><body class='has-sidebar'><main id=header-main><p>Text</p></main></body></html>"
+    assert pages.extract(page, None) == "Text"
+    assert pages.extract("<body hidden><p>Text</p></body>", None) == ""
+
+
 def test_host_path_wins_over_a_page_s_own_best(spark):
     def page(article, teaser):
         return f"<body><div class=text>{article}</div><div class=teaser>{teaser}</div></body>"

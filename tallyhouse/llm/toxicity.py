@@ -137,11 +137,15 @@ def decode(token: str, model: np.ndarray) -> str:
 class Restorer:
     """Restores texts token by token; keeps the tokens it has seen, up to a number.
 
+    Half of the number are the latest tokens; when they are full they replace the older half, so a token
+    that comes often is never forgotten, however many others come once.
     `derive` says what is kept of a restored token; by default the token itself.
     """
 
     def __init__(self, model: np.ndarray, derive=lambda token: token, kept: int = 60_000):
-        self.model, self.derive, self.kept, self.seen = model, derive, kept, {}
+        self.model, self.derive, self.kept = model, derive, kept
+        self.seen: dict = {}
+        self.older: dict = {}
 
     def _run(self, match: re.Match) -> str:
         # runs of one sign around a word are decoration
@@ -155,10 +159,13 @@ class Restorer:
         """What is derived of one token, folded and restored."""
         found = self.seen.get(token)
         if found is None:
-            if len(self.seen) >= self.kept:
-                self.seen.clear()
-            said = fold(token)
-            found = self.seen[token] = self.derive(_RUN.sub(self._run, said) if _NOISY.search(said) else said)
+            found = self.older.get(token)
+            if found is None:
+                said = fold(token)
+                found = self.derive(_RUN.sub(self._run, said) if _NOISY.search(said) else said)
+            if len(self.seen) >= self.kept // 2:
+                self.older, self.seen = self.seen, {}
+            self.seen[token] = found
         return found
 
     def tokens(self, text: str | None) -> list[str]:
@@ -169,15 +176,40 @@ class Restorer:
         return " ".join(map(self.token, self.tokens(text)))
 
 
+def _words(restored: str) -> list[str]:
+    return [restored] if restored.isalpha() else _WORD.findall(restored)
+
+
 def features(restored: str) -> tuple[str, ...]:
     """The words of a restored token, and the beginnings of longer ones, marked by a star."""
-    words = _WORD.findall(restored)
+    words = _words(restored)
     return (*words, *(w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n))
 
 
+def features_among(bounds: dict[str, float]):
+    """A function from restored tokens to those of their features that have a bound.
+
+    All features of a word begin like the word, so most words are settled by their first letters.
+    """
+    length = min(BEGINNINGS)
+    heads = {f[:length] for f in bounds}
+
+    def among(token: str) -> tuple[str, ...]:
+        return tuple(f for w in _words(token) if w[:length] in heads for f in features(w) if f in bounds)
+
+    return among
+
+
 def _held(restore: Restorer, text: str | None) -> set[str]:
     """All that a restorer derives of the tokens of a text."""
-    return set().union(*map(restore.token, set(restore.tokens(text))))
+    held: set[str] = set()
+    for token in set(restore.tokens(text)):
+        found = restore.seen.get(token)
+        if found is None:
+            found = restore.token(token)
+        if found:
+            held.update(found)
+    return held
 
 
 def _bound(hits: int, total: int) -> float:
@@ -204,11 +236,8 @@ def _counted(model: np.ndarray):
 
 
 def _voted(model: np.ndarray, bounds: dict[str, float]):
-    def known(token: str) -> tuple[str, ...]:
-        return tuple(f for f in features(token) if f in bounds)
-
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restore, votes = Restorer(model, known), Counter()
+        restore, votes = Restorer(model, features_among(bounds)), Counter()
         for batch in batches:
             for text in batch["text"]:
                 held = [(bounds[f], f[-1] != "*", f) for f in _held(restore, text)]
@@ -230,12 +259,9 @@ class Toxicity:
         """0 to 1; null and empty texts have the score of a text without features."""
         model, bounds, base = self.model, self.bounds, self.base
 
-        def known(token: str) -> tuple[str, ...]:
-            return tuple(f for f in features(token) if f in bounds)
-
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            restore = Restorer(model, known)
+            restore = Restorer(model, features_among(bounds))
             for texts in batches:
                 found = []
                 for text in texts:

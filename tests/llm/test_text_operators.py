@@ -355,3 +355,19 @@ def test_shared_folder_is_the_session_s():
         conf = {"spark.checkpoint.dir": "hdfs://x/y/"}
 
     assert shared_folder(Session()) == "hdfs://x/y"
+
+
+def test_features_among_bounds_are_all_of_them():
+    bounds = dict.fromkeys(["abc", "abcd", "abcd*", "abcdef*", "straße", "xy", "zzzz*"], 0.9)
+    among = toxicity.features_among(bounds)
+    for token in ["abc", "abcd", "abcde", "abcdefgh", "xy-abcdefg", "straße", "xyz", "zzzz", "", "1abc2xy", "zzzzz"]:
+        assert sorted(among(token)) == sorted(f for f in toxicity.features(token) if f in bounds)
+
+
+def test_a_restorer_forgets_rare_tokens_only():
+    restore = toxicity.Restorer(None, kept=4)
+    for k in range(50):
+        assert restore.token("often") == "often"
+        assert restore.token(f"x-{'abcdefghij'[k % 10]}-{'klmno'[k // 10]}").startswith("x-")
+        assert "often" in {**restore.seen, **restore.older}
+        assert len(restore.seen) + len(restore.older) <= 4

@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and strings that a primed compressor cannot explain.
 
-Beside the patterns, every long mixed string near a sensitive word is a candidate. Its novelty is what it
-adds to the compressed size of the text before it, by zstandard primed with a dictionary of the corpus's
+Beside the patterns, every long string near a sensitive word is a candidate: the word stands before it or
+after it in its line or its braces, is the name it is assigned to, or heads the key block or the run of such
+lines that it is part of. Its novelty is what it adds to the compressed size of the text before it, by zstandard primed with a dictionary of the corpus's
 most frequent identifiers, per byte of the candidate. Words, paths and repeated names compress away; keys do
 not, and are reported.
 """
@@ -9,6 +10,7 @@ not, and are reported.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,11 +36,20 @@ PATTERNS = {
 NOVEL = "novel"
 _ORDER = {kind: i for i, kind in enumerate([*PATTERNS, NOVEL])}
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: Parts of a candidate between equals signs; signs at its end are padding.
+_PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+\Z)?")
 _SENSITIVE = re.compile(
     r"(?ai)passw|passwd|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|signature"
 )
-#: Characters before a candidate that count as its surroundings, and those that may hold a sensitive word.
+#: A key block; its lines are candidates of any length.
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(.*?)(?:-----END|\Z)", re.S)
+_KEY_LINE = re.compile(r"(?m)^[ \t]*([A-Za-z0-9+/]+=*)[ \t\r]*$")
+#: What may stand between a sensitive word and the candidate that it names.
+_LEADS = re.compile(r"[^A-Za-z0-9\n]{0,8}(?=[A-Za-z0-9+/_=-]{16})")
+#: Characters before a candidate that count as its surroundings, also for braces on both sides, and those that
+#: may hold a sensitive word of an earlier line.
 CONTEXT, NEAR = 512, 48
 #: Compressed bytes a byte of a candidate must add. Random base64 adds 0.75, random hex 0.5.
 NOVELTY = 0.6
@@ -46,13 +57,71 @@ NOVELTY = 0.6
 IDENTIFIERS, DICTIONARY_BYTES = 8_000, 1 << 16
 #: Of letters alone: a leaked key that many copies hold must not explain itself.
 _IDENTIFIER = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z_]{4,40}(?![A-Za-z0-9_])")
+#: The words of a candidate, which are all that it gives to the dictionary, for the same reason.
+_SUBWORD = re.compile(r"(?<![a-z])[A-Z]?[a-z]{3,14}(?![a-z])|(?<![A-Z])[A-Z]{4,15}(?![A-Za-z])")
+
+
+def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """What may be a key in a run of candidate characters: the values of an assignment, or all of it."""
+    parts = [(start + m.start(), start + m.end()) for m in _PART.finditer(text[start:end])]
+    if not parts or parts[-1][1] - parts[-1][0] < LEAST:
+        return [(start, end)]
+    named = [p for p in parts[:-1] if p[1] - p[0] >= LEAST and not _SENSITIVE.search(text, *p)]
+    return [*named, parts[-1]]
+
+
+def near_candidates(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the candidates near a sensitive word, in order."""
+    runs = list(_CANDIDATE.finditer(text))
+    words = [m.span() for m in _SENSITIVE.finditer(text)] if runs or "-----BEGIN" in text else []
+    if not words:
+        return []
+    begins, ends = [a for a, _ in words], [b for _, b in words]
+    block_lines = [
+        (line.start(1), line.end(1))
+        for block in _KEY_BLOCK.finditer(text)
+        for line in _KEY_LINE.finditer(text, *block.span(1))
+    ]
+    in_block, found = set(block_lines), list(block_lines)
+    line_from, line_to, carried = 0, -1, -1
+    for run in runs:
+        for start, end in _parts(text, *run.span()):
+            if (start, end) in in_block or not any(c.isalpha() for c in text[start:end]):
+                continue
+            if start > line_to:
+                line_from, line_to = text.rfind("\n", 0, start) + 1, text.find("\n", start)
+                line_to = len(text) if line_to < 0 else line_to
+            low, high = min(line_from, max(0, start - NEAR)), line_to
+            opened = text.rfind("{", max(0, start - CONTEXT), start)
+            closed = text.find("}", end, end + CONTEXT)
+            if opened >= 0 and closed >= 0 and "}" not in text[opened:start] and "{" not in text[end:closed]:
+                low, high = min(low, opened), max(high, closed)
+            # the first word from `low` on, if it ends before the candidate, or one behind it that names no other
+            first = bisect_left(begins, low)
+            near = first < len(words) and ends[first] <= start
+            for k in range(bisect_left(begins, end), bisect_right(ends, high)):
+                if near:
+                    break
+                near = not _LEADS.match(text, ends[k])
+            if not near and 0 <= carried and start - carried <= NEAR:
+                gap = text[carried:start]
+                near = gap.count("\n") == 1 and not any(c.isalnum() for c in gap + text[end:line_to])
+            if near:
+                found.append((start, end))
+                carried = end
+    return sorted(found)
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found: Counter = Counter()
         for text in batch["text"]:
-            found.update(_IDENTIFIER.findall(text or ""))
+            rest, at = [], 0
+            for start, end in near_candidates(text or ""):
+                found.update(_SUBWORD.findall(text, start, end))
+                rest.append(text[at:start])
+                at = end
+            found.update(_IDENTIFIER.findall(" ".join([*rest, text[at:]]) if at else text or ""))
         if found:
             yield pd.DataFrame({"word": list(found), "n": list(found.values())})
 
@@ -112,16 +181,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def novel_spans(text: str, base: list[tuple[str, int, int]], novelty: Novelty) -> list[tuple[str, int, int]]:
     """Candidates near a sensitive word that add too many compressed bytes and touch no base span."""
     found = []
-    for match in _CANDIDATE.finditer(text):
-        start, end = match.span()
-        said = match[0]
-        if not (any(c.isdigit() for c in said) and any(c.isalpha() for c in said)):
-            continue
-        if not _SENSITIVE.search(text, max(0, start - NEAR), start):
-            continue
+    for start, end in near_candidates(text):
         if any(a < end and start < b for _, a, b in base):
             continue
-        if novelty(text[max(0, start - CONTEXT) : start], said) >= NOVELTY:
+        if novelty(text[max(0, start - CONTEXT) : start], text[start:end]) >= NOVELTY:
             found.append((NOVEL, start, end))
     return found
 

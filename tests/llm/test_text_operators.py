@@ -264,6 +264,32 @@ def test_novel_strings_near_sensitive_words(spark):
     assert rows[6] == [("assign", 0, 21)]
 
 
+def test_novel_strings_in_assignments_blocks_and_before_their_word(spark):
+    random.seed(5)
+    key = lambda n=40, of=string.ascii_letters + string.digits: "".join(random.choices(of, k=n))
+    body = [key(64) for _ in range(4)] + [key(10) + "=="]
+    pem = ["-----BEGIN RSA PRIVATE KEY-----", *body, "-----END RSA PRIVATE KEY-----"]
+    sealed = [pem[0], "Proc-Type: 4,ENCRYPTED", "", *pem[1:]]
+    k = [key() for _ in range(12)] + [key(40, string.ascii_letters)]
+    texts = {
+        f"private_key={k[0]}": [k[0]], f"AWS_ACCESS_KEY_ID={k[1]}": [k[1]], f"credential={k[2]}==": [k[2] + "=="],
+        f"db_pwd={k[3]} x": [k[3]], f"https://h.example/p?signature={k[4]}&x=1": [k[4]],
+        f'{{"value": "{k[5]}", "name": "credential"}}': [k[5]], f"x: {k[6]}  # the credential": [k[6]],
+        f'{{\n "value": "{k[7]}",\n "type": "string",\n "name": "credential"\n}}': [k[7]],
+        f"a credential {'that is used for this and for that ' * 3}is {k[8]}": [k[8]],
+        f"the credential is {k[12]}": [k[12]], f"a credential\n\n\n{'no ' * 20}{k[9]}": [],
+        f"credentials:\n  {k[10]}\n  {k[11]}\n": [k[10], k[11]],
+        "\n".join(pem): body, "\n".join(sealed): body, "credential internal_name_of_it=a1": [],
+        "\n".join(pem).replace("PRIVATE", "PUBLIC"): [],
+        **{f"internal_name_of_it internationalization {i}": [] for i in range(3)},
+        "credential of internationalization": [],
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for row in secret_scan.scan(docs).collect():
+        said = row["doc"]["text"]
+        assert [said[s["start"] : s["end"]] for s in row["spans"]] == texts[said], said
+
+
 def test_main_text_of_furnished_pages(spark):
     def page(body, notice="We use cookies"):
         return (

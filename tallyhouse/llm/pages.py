@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.store import Spool
 
 # What tags are, by name.
-_RAW = "script|style|noscript|template|textarea|svg|iframe|title"
+#: The text of raw elements runs to their end tag or, as HTML has it, to the page's end.
+_RAW = "script|style|textarea|iframe|title"
+#: Left out with what they hold, but only up to an end tag of their own.
+_SKIPPED = frozenset("noscript template svg".split())
 _CONTAINERS = frozenset(
     "html body main article section div nav header footer aside form table tbody thead tfoot ul ol dl "
     "fieldset figure dialog details menu center select button head".split()
@@ -39,11 +42,19 @@ _FURNITURE_WORDS = frozenset(
 )
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)",
-    re.I | re.S,
-)
+_ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+
+
+def _tokens_of(raw_end: str) -> re.Pattern:
+    return re.compile(
+        rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{_RAW})\b{_ATTRS}{raw_end}.*?(?:</(?P=raw)\s*>|\Z)"
+        rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>{_ATTRS})>|<[!?/][^>]*(?:>|\Z)",
+        re.I | re.S,
+    )
+
+
+#: Inside svg a slash closes raw elements too.
+_TOKEN, _SVG_TOKEN = _tokens_of(">"), _tokens_of("(?<!/)>")
 _ATTR = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.I)
 #: A container is a candidate from this share of the good text on; a level deeper is worth so much.
 SHARE, LEVEL = 0.5, 0.05
@@ -76,6 +87,47 @@ def _furniture(tag: str, attrs: dict[str, str]) -> bool:
     return not _FURNITURE_WORDS.isdisjoint(re.findall("[a-z]+", names.lower()))
 
 
+def _tokens(page: str) -> list[re.Match | _Cut]:
+    """The tags, comments and raw elements of a page, without those inside skipped elements."""
+    found: list[re.Match | _Cut] = []
+    opened: dict[str, list[int]] = {tag: [] for tag in _SKIPPED}
+    cuts: list[tuple[int, int]] = []
+    foreign, match = 0, _TOKEN.search(page)
+    while match:
+        tag = (match["tag"] or "").lower()
+        if tag in _SKIPPED:
+            if match["end"]:
+                if opened[tag]:
+                    cuts.append((opened[tag].pop(), len(found)))
+            elif not match["attrs"].endswith("/"):
+                opened[tag].append(len(found))
+        elif tag == "foreignobject" and opened["svg"]:
+            foreign = max(0, foreign + (-1 if match["end"] else not match["attrs"].endswith("/")))
+        elif tag in _BLOCKS and opened["svg"] and not foreign:
+            opened["svg"] = []  # as in HTML, a block ends an svg that was left open
+        foreign = foreign if opened["svg"] else 0
+        found.append(match)
+        match = (_SVG_TOKEN if opened["svg"] else _TOKEN).search(page, match.end())
+    if not cuts:
+        return found
+    kept, at = [], 0
+    for first, last in sorted(cuts):
+        if first >= at:
+            kept += found[at:first] + [_Cut(found[first].start(), found[last].end())]
+            at = last + 1
+    return kept + found[at:]
+
+
+class _Cut:
+    """Stands for a skipped element among the matches."""
+
+    def __init__(self, start: int, end: int):
+        self.start, self.end = lambda: start, lambda: end
+
+    def __getitem__(self, name: str) -> None:
+        return None
+
+
 def blocks(page: str) -> list[tuple[_Container, str, int]]:
     """(container, text, characters in links) of each block of a page, in order."""
     top = here = _Container("", "", None, False)
@@ -99,7 +151,7 @@ def blocks(page: str) -> list[tuple[_Container, str, int]]:
         linked += len(said) if in_link else 0
 
     at = 0
-    for match in _TOKEN.finditer(page):
+    for match in _tokens(page):
         if match.start() > at:
             text(page[at : match.start()])
         at = match.end()

@@ -320,6 +320,15 @@ def test_classes_of_the_page_itself_hide_nothing():
     assert pages.extract("<body hidden><p>Text</p></body>", None) == ""
 
 
+def test_elements_that_are_closed_at_once_or_never_hide_no_text():
+    for icon in ["<svg class='x'/>", "<svg class='x'>", "<noscript>", "<template>", "<svg><title/><path d=''/></svg>", "<svg/><svg>"]:
+        for later in ["", "<svg><text>no</text></svg>", "<template><p>no</p></template>"]:
+            assert pages.extract(f"<body><div>{icon}<article><p>Text</p></article>{later}</div></body>", None) == "Text"
+    hidden = "<svg><text>a</text><svg/><svg></svg><foreignObject><p>b</p></foreignObject></svg><noscript><p>c</p></noscript>"
+    assert pages.extract(f"<body>{hidden}<p>Text</p><template><div><template>d</template>e</div></template></body>", None) == "Text"
+    assert pages.extract("<body><p>Text</p><script src='x'/><p>no</p></body>", None) == "Text"
+
+
 def test_host_path_wins_over_a_page_s_own_best(spark):
     def page(article, teaser):
         return f"<body><div class=text>{article}</div><div class=teaser>{teaser}</div></body>"

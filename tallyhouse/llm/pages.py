@@ -32,7 +32,7 @@ _BLOCKS = _CONTAINERS | frozenset(
 )
 #: Their classes say what a page has ("has-sidebar"), not what they are.
 _FRAMES = frozenset("html body main".split())
-_FURNITURE_TAGS = frozenset("nav header footer aside form dialog menu select button head".split())
+_FURNITURE_TAGS = frozenset("nav header footer aside dialog menu select button head".split())
 _FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar side header masthead footer foot cookie cookies consent "
@@ -40,7 +40,10 @@ _FURNITURE_WORDS = frozenset(
     "sharing related recommended recommendations pagination pager comment comments reply replies disqus "
     "widget toolbar copyright disclaimer gdpr skip".split()
 )
-_FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
+_FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
+#: Elements and classes that say where the article is.
+_ARTICLE_TAGS = frozenset("article main".split())
+_ARTICLE_WORDS = frozenset("article main content post entry story text".split())
 
 _ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 
@@ -61,10 +64,14 @@ SHARE, LEVEL = 0.5, 0.05
 
 
 class _Container:
-    __slots__ = ("depth", "furniture", "good", "parent", "path", "tag")
+    __slots__ = ("depth", "doubtful", "furniture", "good", "named", "parent", "path", "tag")
 
-    def __init__(self, tag: str, path: str, parent: _Container | None, furniture: bool):
+    def __init__(
+        self, tag: str, path: str, parent: _Container | None, furniture: bool, doubtful: bool = False, named: bool = False
+    ):
         self.tag, self.path, self.parent, self.furniture = tag, path, parent, furniture
+        #: furniture by its class only, or a form, which may also be a wrapper of the page; named like an article
+        self.doubtful, self.named = doubtful, named
         self.depth = parent.depth + 1 if parent else 0
         self.good = 0
 
@@ -77,14 +84,22 @@ def _attributes(said: str) -> dict[str, str]:
 
 
 def _furniture(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether an element is furniture or hidden, whatever it holds."""
     if tag in _FURNITURE_TAGS or "hidden" in attrs or attrs.get("role", "").lower() in _FURNITURE_ROLES:
         return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I) or attrs.get("aria-hidden") == "true":
-        return True
-    if tag in _FRAMES:
-        return False
+    return bool(re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I)) or attrs.get("aria-hidden") == "true"
+
+
+def _names(attrs: dict[str, str]) -> list[str]:
     names = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}")
-    return not _FURNITURE_WORDS.isdisjoint(re.findall("[a-z]+", names.lower()))
+    return re.findall("[a-z]+", names.lower())
+
+
+def _doubtful(tag: str, attrs: dict[str, str], names: list[str]) -> bool:
+    """Whether an element looks like furniture, unless it holds the page."""
+    if tag == "form" or attrs.get("role", "").lower() == "form":
+        return True
+    return tag not in _FRAMES and not _FURNITURE_WORDS.isdisjoint(names)
 
 
 def _tokens(page: str) -> list[re.Match | _Cut]:
@@ -128,12 +143,15 @@ class _Cut:
         return None
 
 
-def blocks(page: str) -> list[tuple[_Container, str, int]]:
-    """(container, text, characters in links) of each block of a page, in order."""
+_Block = tuple[_Container, str, int, str]
+
+
+def blocks(page: str) -> list[_Block]:
+    """(container, text, characters in links, tag or "") of each block of a page, in order."""
     top = here = _Container("", "", None, False)
-    found: list[tuple[_Container, str, int]] = []
+    found: list[_Block] = []
     parts: list[str] = []
-    linked, in_link = 0, False
+    linked, in_link, block = 0, False, ""
     # blocks that are furniture by themselves, such as a paragraph of class "notice"
     hidden = ""
 
@@ -141,7 +159,7 @@ def blocks(page: str) -> list[tuple[_Container, str, int]]:
         nonlocal parts, linked
         said = " ".join("".join(parts).split())
         if said and not hidden:
-            found.append((here, said, linked))
+            found.append((here, said, linked, block))
         parts, linked = [], 0
 
     def text(said: str) -> None:
@@ -165,6 +183,7 @@ def blocks(page: str) -> list[tuple[_Container, str, int]]:
         if tag not in _BLOCKS:
             continue
         close()
+        block = "" if match["end"] or tag in _CONTAINERS else tag
         if tag in _CONTAINERS:
             hidden = ""
             if not match["end"]:
@@ -173,7 +192,10 @@ def blocks(page: str) -> list[tuple[_Container, str, int]]:
                 attrs = _attributes(match["attrs"])
                 classes = sorted(set(re.sub(r"\d+", "", attrs.get("class", "")).lower().split()))
                 path = f"{here.path}>{'.'.join([tag, *classes])}"
-                here = _Container(tag, path, here, here.furniture or _furniture(tag, attrs))
+                names = _names(attrs)
+                named = tag in _ARTICLE_TAGS or not _ARTICLE_WORDS.isdisjoint(names)
+                furniture = here.furniture or _furniture(tag, attrs)
+                here = _Container(tag, path, here, furniture, _doubtful(tag, attrs, names), named)
             else:
                 opened = here
                 while opened.parent and opened.tag != tag:
@@ -182,18 +204,64 @@ def blocks(page: str) -> list[tuple[_Container, str, int]]:
         elif match["end"]:
             hidden = "" if tag == hidden else hidden
         else:
-            hidden = tag if _furniture(tag, _attributes(match["attrs"])) else ""
+            attrs = _attributes(match["attrs"])
+            hidden = tag if _furniture(tag, attrs) or _doubtful(tag, attrs, _names(attrs)) else ""
     if at < len(page):
         text(page[at:])
     close()
     return found
 
 
-def _scored(page: str) -> tuple[list[tuple[_Container, str, int]], dict[_Container, float]]:
+def _above(container: _Container) -> Iterator[_Container]:
+    """A container and all around it, from the inside."""
+    up: _Container | None = container
+    while up:
+        yield up
+        up = up.parent
+
+
+def _good(found: list[_Block]) -> list[_Block]:
+    """The blocks outside furniture.
+
+    A doubtful container counts as furniture unless it wraps the page: it holds most of the text and, where the
+    rest has an article, main or h1, or without one itself a container named like an article, it does not.
+    """
+    shown = [b for b in found if not b[0].furniture]
+    doubts: dict[_Container, int] = {}
+    for container, said, _, _ in shown:
+        for up in _above(container):
+            if up.doubtful:
+                doubts[up] = doubts.get(up, 0) + len(said)
+    if not doubts:
+        return shown
+    total = sum(len(said) for _, said, _, _ in shown)
+    cleared: set[_Container] = set()
+    for doubt in sorted(doubts, key=lambda c: c.depth):
+        if doubts[doubt] < SHARE * total:
+            continue
+        around = set(_above(doubt))
+        marked = {True: False, False: False}
+        named = False
+        for container, _, _, tag in shown:
+            ups = list(_above(container))
+            inside = doubt in ups
+            if any(up.doubtful and up not in around for up in ups):
+                continue
+            marked[inside] |= tag == "h1" or any(
+                up.tag in _ARTICLE_TAGS and (up is doubt or up not in around) for up in ups
+            )
+            named |= not inside and any(up.named and up not in around for up in ups)
+        if not marked[False] and (marked[True] or not named):
+            cleared.add(doubt)
+    good = [b for b in shown if not any(up.doubtful and up not in cleared for up in _above(b[0]))]
+    return good or shown
+
+
+def _scored(page: str) -> tuple[list[_Block], dict[_Container, float]]:
     """The good blocks of a page, and the score of each container that holds enough of them."""
-    good = [b for b in blocks(page) if not b[0].furniture]
+    good = _good(blocks(page))
     total = 0
-    for container, said, linked in good:
+    for container, said, linked, _ in good:
         worth = max(0, len(said) - 2 * linked)
         total += worth
         up: _Container | None = container
@@ -201,7 +269,7 @@ def _scored(page: str) -> tuple[list[tuple[_Container, str, int]], dict[_Contain
             up.good += worth
             up = up.parent
     scores: dict[_Container, float] = {}
-    for container, _, _ in good:
+    for container, *_ in good:
         up = container
         while up and up not in scores:
             if total and up.good >= SHARE * total:
@@ -228,10 +296,10 @@ def extract(page: str | None, path: str | None) -> str:
             up = up.parent
         return False
 
-    lines = [said for c, said, _ in good if path is not None and inside(c, lambda x: x.path == path)]
+    lines = [said for c, said, *_ in good if path is not None and inside(c, lambda x: x.path == path)]
     if not lines and good:
         best = max(scores, key=lambda c: (scores[c], c.path), default=None)
-        lines = [said for c, said, _ in good if best is None or inside(c, lambda x: x is best)]
+        lines = [said for c, said, *_ in good if best is None or inside(c, lambda x: x is best)]
     return "\n".join(lines)
 
 

@@ -320,6 +320,24 @@ def test_classes_of_the_page_itself_hide_nothing():
     assert pages.extract("<body hidden><p>Text</p></body>", None) == ""
 
 
+def test_wrappers_with_furniture_s_classes_hide_nothing():
+    article = "<p>" + "long text " * 30 + "</p>"
+    side = "<div class=sidebar><p>no</p></div>"
+    for wrapped in [
+        f"<div class='content-with-sidebar'><div class=post>{article}</div>{side}</div>",
+        f"<div id=page class='has-sidebar'><div><h1>T</h1>{article}</div>{side}</div><p>End</p>",
+        f"<section class=menu><article>{article}</article></section>{side}",
+        f"<form id=aspnetForm><div class=menu><a href=x>no</a></div><div>{article}</div><form><p>no</p></form></form>",
+        f"<div class=site-header-wrap><div class=social-layout>{article}</div></div>",
+    ]:
+        said = pages.extract(f"<html><body>{wrapped}</body></html>", None)
+        assert ("long text " * 30).strip() in said and "no" not in said.split()
+    notice = f"<div class=cookie-notice><p>{'We use cookies. ' * 40}</p></div>"
+    for tag in ["article", "main", "div class=post", "div><h1>T</h1"]:
+        assert "cookies" not in pages.extract(f"<body>{notice}<{tag}><p>Short</p></{tag[:4].rstrip()}></body>", None)
+    assert pages.extract("<body><div class=menu><p>Only text</p></div></body>", None) == "Only text"
+
+
 def test_elements_that_are_closed_at_once_or_never_hide_no_text():
     for icon in ["<svg class='x'/>", "<svg class='x'>", "<noscript>", "<template>", "<svg><title/><path d=''/></svg>", "<svg/><svg>"]:
         for later in ["", "<svg><text>no</text></svg>", "<template><p>no</p></template>"]:

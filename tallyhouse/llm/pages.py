@@ -3,7 +3,8 @@
 Every page scores its containers: the share of the page's good text (outside menus, notices and other
 furniture) that a container holds, and how deep it lies. It votes for its best one, with that score. In
 Spark, the votes are summed by host and generalised path (tags and classes, digits left out); the path with
-the most votes wins, and every page of the host is extracted again from the containers at that path. A page without them uses its own best container.
+the most votes wins, and every page of the host is extracted again from the containers at that path. A page
+without them uses its own best container. Either is extended outwards while that adds good text of the article.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ _FURNITURE_WORDS = frozenset(
     "widget toolbar copyright disclaimer gdpr skip".split()
 )
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements and classes that say where the article is.
 _ARTICLE_TAGS = frozenset("article main".split())
 _ARTICLE_WORDS = frozenset("article main content post entry story text".split())
@@ -64,14 +66,18 @@ SHARE, LEVEL = 0.5, 0.05
 
 
 class _Container:
-    __slots__ = ("depth", "doubtful", "furniture", "good", "named", "parent", "path", "tag")
+    __slots__ = ("article", "depth", "doubt", "furniture", "good", "headings", "heads", "named", "own", "parent", "path", "said", "tag")
 
     def __init__(
         self, tag: str, path: str, parent: _Container | None, furniture: bool, doubtful: bool = False, named: bool = False
     ):
         self.tag, self.path, self.parent, self.furniture = tag, path, parent, furniture
-        #: furniture by its class only, or a form, which may also be a wrapper of the page; named like an article
-        self.doubtful, self.named = doubtful, named
+        # the nearest one, from here outwards, that may be furniture; that is an article; that is named like one
+        self.doubt = self if doubtful else parent.doubt if parent else None
+        self.article = self if tag in _ARTICLE_TAGS else parent.article if parent else None
+        self.named = self if named else parent.named if parent else None
+        # of its good blocks with few links: characters, headings, h1, and how many have no container between
+        self.said = self.headings = self.heads = self.own = 0
         self.depth = parent.depth + 1 if parent else 0
         self.good = 0
 
@@ -220,6 +226,14 @@ def _above(container: _Container) -> Iterator[_Container]:
         up = up.parent
 
 
+def _doubts(container: _Container) -> Iterator[_Container]:
+    """The doubtful ones among a container and all around it, from the inside."""
+    doubt = container.doubt
+    while doubt:
+        yield doubt
+        doubt = doubt.parent.doubt if doubt.parent else None
+
+
 def _good(found: list[_Block]) -> list[_Block]:
     """The blocks outside furniture.
 
@@ -227,47 +241,47 @@ def _good(found: list[_Block]) -> list[_Block]:
     rest has an article, main or h1, or without one itself a container named like an article, it does not.
     """
     shown = [b for b in found if not b[0].furniture]
-    doubts: dict[_Container, int] = {}
-    for container, said, _, _ in shown:
-        for up in _above(container):
-            if up.doubtful:
-                doubts[up] = doubts.get(up, 0) + len(said)
-    if not doubts:
+    held: dict[_Container, int] = {}
+    # by nearest doubtful container: whether there is an h1, and the nearest articles and containers so named
+    marks: dict[_Container | None, tuple[list[bool], set, set]] = {}
+    for container, said, _, tag in shown:
+        heads, articles, named = marks.setdefault(container.doubt, ([False], set(), set()))
+        heads[0] |= tag == "h1"
+        articles.add(container.article)
+        named.add(container.named)
+        for doubt in _doubts(container):
+            held[doubt] = held.get(doubt, 0) + len(said)
+    if not held:
         return shown
     total = sum(len(said) for _, said, _, _ in shown)
-    cleared: set[_Container] = set()
-    for doubt in sorted(doubts, key=lambda c: c.depth):
-        if doubts[doubt] < SHARE * total:
-            continue
-        around = set(_above(doubt))
-        marked = {True: False, False: False}
-        named = False
-        for container, _, _, tag in shown:
-            ups = list(_above(container))
-            inside = doubt in ups
-            if any(up.doubtful and up not in around for up in ups):
-                continue
-            marked[inside] |= tag == "h1" or any(
-                up.tag in _ARTICLE_TAGS and (up is doubt or up not in around) for up in ups
-            )
-            named |= not inside and any(up.named and up not in around for up in ups)
-        if not marked[False] and (marked[True] or not named):
-            cleared.add(doubt)
-    good = [b for b in shown if not any(up.doubtful and up not in cleared for up in _above(b[0]))]
-    return good or shown
+    clear: dict[_Container | None, bool] = {None: True}
+    for doubt in sorted(held, key=lambda c: c.depth):
+        outer = doubt.parent.doubt if doubt.parent else None
+        clear[doubt] = False
+        if clear[outer] and held[doubt] >= SHARE * total:
+            around = {None, *_above(doubt)}
+            heads, articles, _ = marks.get(doubt, ([False], set(), set()))
+            inside = heads[0] or not articles <= around - {doubt}
+            beside = [marks[d] for d in (*_doubts(doubt), None) if d is not doubt and d in marks]
+            marked = any(heads[0] or not articles <= around for heads, articles, _ in beside)
+            clear[doubt] = not marked and (inside or all(named <= around for _, _, named in beside))
+    return [b for b in shown if clear[b[0].doubt]] or shown
 
 
 def _scored(page: str) -> tuple[list[_Block], dict[_Container, float]]:
     """The good blocks of a page, and the score of each container that holds enough of them."""
     good = _good(blocks(page))
     total = 0
-    for container, said, linked, _ in good:
+    for container, said, linked, tag in good:
         worth = max(0, len(said) - 2 * linked)
         total += worth
-        up: _Container | None = container
-        while up:
+        container.own += worth > 0
+        for up in _above(container):
             up.good += worth
-            up = up.parent
+            if worth:
+                up.said += len(said)
+                up.headings += tag in _HEADINGS
+                up.heads += tag == "h1"
     scores: dict[_Container, float] = {}
     for container, *_ in good:
         up = container
@@ -278,29 +292,48 @@ def _scored(page: str) -> tuple[list[_Block], dict[_Container, float]]:
     return good, scores
 
 
+def _whole(container: _Container) -> _Container:
+    """The outermost container that this one may be extended to, level by level, while good text comes in.
+
+    An article or main takes in whatever it has; html and body only an h1 or blocks that lie directly in them;
+    others a heading, a block of their own, or no more text than there was.
+    """
+    best = container
+    for around in _above(container):
+        more = around.said - best.said
+        if not more:
+            continue
+        joined = around.own or around.heads > best.heads
+        if around.tag in _BLOCKS and around.tag not in ("html", "body"):
+            joined = joined or around.article is around or around.headings > best.headings or more <= best.said
+        if not joined:
+            break
+        best = around
+    return best
+
+
+def _best(scores: dict[_Container, float]) -> tuple[_Container, float] | None:
+    """A page's best container, extended to the whole article, and its score."""
+    if not scores:
+        return None
+    best = max(scores, key=lambda c: (scores[c], c.path))
+    return _whole(best), scores[best]
+
+
 def best_path(page: str | None) -> tuple[str, float] | None:
     """The path of a page's best container and its score; nothing for a page without good text."""
-    scores = _scored(page or "")[1]
-    return max(((c.path, s) for c, s in scores.items()), key=lambda x: (x[1], x[0]), default=None)
+    best = _best(_scored(page or "")[1])
+    return best and (best[0].path, best[1])
 
 
 def extract(page: str | None, path: str | None) -> str:
-    """The good blocks in containers at `path`; without any, in the page's best container."""
+    """The good blocks in containers at `path`, extended to the whole article; without any, in the page's best."""
     good, scores = _scored(page or "")
-
-    def inside(container: _Container, wanted) -> bool:
-        up: _Container | None = container
-        while up:
-            if wanted(up):
-                return True
-            up = up.parent
-        return False
-
-    lines = [said for c, said, *_ in good if path is not None and inside(c, lambda x: x.path == path)]
-    if not lines and good:
-        best = max(scores, key=lambda c: (scores[c], c.path), default=None)
-        lines = [said for c, said, *_ in good if best is None or inside(c, lambda x: x is best)]
-    return "\n".join(lines)
+    roots = {up for c, *_ in good for up in _above(c) if path is not None and up.path == path}
+    if not roots and (best := _best(scores)):
+        roots = {best[0]}
+    roots = {_whole(c) for c in roots}
+    return "\n".join(said for c, said, *_ in good if not roots or not roots.isdisjoint(_above(c)))
 
 
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

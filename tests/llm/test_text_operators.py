@@ -320,6 +320,26 @@ def test_classes_of_the_page_itself_hide_nothing():
     assert pages.extract("<body hidden><p>Text</p></body>", None) == ""
 
 
+def test_titles_leads_and_ends_beside_the_body_are_kept(spark):
+    body = "<div class=body><div class=inner><p>" + "long text " * 60 + "</p></div></div>"
+    text, more = ("long text " * 60).strip(), "<div class=teaser><p>more</p></div>"
+    layouts = {
+        f"<article><h1>Title</h1>{body}</article>": f"Title\n{text}",
+        f"<article><header-x></header-x><div><h1>Title</h1></div>{body}<section>End</section></article>": f"Title\n{text}\nEnd",
+        f"<div class=post><div class=lead><p>Lead</p></div>{body}<div class=last><p>End</p></div></div>": f"Lead\n{text}\nEnd",
+        f"<div class=title><h1>Title</h1></div>{body}": f"Title\n{text}",
+        f"<div class=wrap>{body}</div>{more}": text,
+    }
+    pages_of = [
+        (k, f"https://h{k // 4}.example/{k}", f"<html><body><nav>no</nav>{layout}<footer>no</footer></body></html>")
+        for k, layout in enumerate(x for layout in layouts for x in [layout] * 4)
+    ]
+    frame = spark.createDataFrame(pages_of, "page_id long, url string, html string")
+    texts = {r["doc"]["page_id"]: r["text"] for r in pages.main_text(frame).collect()}
+    for k, meant in enumerate(layouts.values()):
+        assert [texts[4 * k + i] for i in range(4)] == [meant] * 4
+
+
 def test_wrappers_with_furniture_s_classes_hide_nothing():
     article = "<p>" + "long text " * 30 + "</p>"
     side = "<div class=sidebar><p>no</p></div>"

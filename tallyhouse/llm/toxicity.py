@@ -1,9 +1,9 @@
 """Toxicity of texts, scored after a noisy-channel restoration of obfuscated words.
 
 A character trigram model is counted over the whole corpus. Words that look obfuscated (digits or signs
-among letters, a letter three times or more, single letters spelled out with spaces or dots) span a
-lattice: each character may stand for itself, for the letters it is used for, or for nothing. The Viterbi
-path under the character model is the restored word. The score is learnt and applied on restored texts.
+among letters, a letter twice or more, runs of single letters, a separator among letters) span a lattice:
+each character may stand for itself, for the letters it is used for, or for nothing, and each separator for
+the edge of a word or for nothing. The Viterbi path under the character model is the restored text. The score is learnt and applied on restored texts.
 
 Learning takes, for each word and word beginning, a lower bound of the share of toxic texts among the
 labelled texts that hold it. Each toxic text then votes for its most reliable feature, and features with
@@ -42,18 +42,24 @@ STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c",
 }
-#: Log probabilities of the channel: a sign that stands for a letter, for nothing, a repeated letter.
+#: Log probabilities of the channel: a sign that stands for a letter, for nothing, a letter repeated often or
+#: once, and a separator inside a word that is not spelled out.
 SUBSTITUTED, DROPPED, REPEATED = math.log(0.6), math.log(0.002), math.log(0.3)
+DOUBLED, SPLIT = math.log(0.02), math.log(0.05)
 
 _MARKS = re.compile("[\u0300-\u036f]+")
 _SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
-#: Four or more single characters with one separator between them.
+#: Separators in a token: between spelled letters, and inside a word.
+_GAP, _JOINT = "\ue000", "\ue001"
+_GAPS = re.compile(r"[ \t._*\-,/]{1,3}")
+#: Three or more single characters with separators between them.
 _SPELLED = re.compile(
-    rf"(?<!\S)[A-Za-z{_SIGNS}](?P<gap>[ ._*\-])(?:[A-Za-z{_SIGNS}](?P=gap)){{2,}}[A-Za-z{_SIGNS}](?![^\W_])"
+    rf"(?<![^\s\"'“„«(\[])[A-Za-z{_SIGNS}](?:{_GAPS.pattern}[A-Za-z{_SIGNS}](?![^\W_])){{2,}}"
 )
-#: In a token: a sign or digit next to a letter, or a letter three times.
-_NOISY = re.compile(rf"[a-z][{_SIGNS}]|[{_SIGNS}][a-z]|([a-z])\1\1")
-_RUN = re.compile(rf"[a-z{_SIGNS}]+")
+_JOINTS = re.compile(r"(?<=[A-Za-z])[._*\-,/](?=[A-Za-z])")
+#: In a token: a sign, digit or separator next to a letter, or a letter twice.
+_NOISY = re.compile(rf"[a-z][{_SIGNS}{_GAP}{_JOINT}]|[{_SIGNS}{_GAP}][a-z]|([a-z])\1")
+_RUN = re.compile(rf"[a-z{_SIGNS}{_GAP}{_JOINT}]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SIZE = 27
 _CODES = bytes(c - 96 if 97 <= c <= 122 else 0 for c in range(256))
@@ -100,14 +106,17 @@ def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def _options(token: str) -> list[list[tuple[int, float]]]:
-    """For each character of a token the letters it may stand for (0: none) and their log probability."""
+    """For each character of a token the letters it may stand for (0: none, -1: an edge) and their log probability."""
     found, before = [], ""
-    for c in token:
+    for i, c in enumerate(token):
         here = []
         if "a" <= c <= "z":
             here.append((ord(c) - 96, 0.0))
             if c == before:
-                here.append((0, REPEATED))
+                long = token[i - 2 : i - 1] == c or token[i + 1 : i + 2] == c
+                here.append((0, REPEATED if long else DOUBLED))
+        elif c == _GAP or c == _JOINT:
+            here += [(-1, 0.0), (0, 0.0 if c == _GAP else SPLIT)]
         else:
             here += [(ord(x) - 96, SUBSTITUTED) for x in STANDS_FOR.get(c, "")]
             here.append((0, DROPPED))
@@ -116,22 +125,29 @@ def _options(token: str) -> list[list[tuple[int, float]]]:
     return found
 
 
-def decode(token: str, model: np.ndarray) -> str:
-    """The most probable path through a token's lattice, by Viterbi over the last two letters."""
+def decode(token: str, model: list) -> str:
+    """The most probable path through a token's lattice, by Viterbi over the last two letters.
+
+    The model is given as nested lists, which are read faster than an array.
+    """
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for here in _options(token):
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, said) in paths.items():
             for letter, cost in here:
-                if letter:
-                    state, value = (b, letter), score + cost + model[a, b, letter]
+                if letter < 0:
+                    if not b:
+                        continue
+                    state, value, word = (b, 0), score + cost + model[a][b][0], said + " "
+                elif letter:
+                    state, value = (b, letter), score + cost + model[a][b][letter]
                     word = said + chr(96 + letter)
                 else:
                     state, value, word = (a, b), score + cost, said
                 if state not in after or value > after[state][0]:
                     after[state] = (value, word)
         paths = after
-    return max((score + model[a, b, 0], said) for (a, b), (score, said) in paths.items())[1]
+    return max((score + model[a][b][0], said) for (a, b), (score, said) in paths.items())[1]
 
 
 class Restorer:
@@ -143,7 +159,8 @@ class Restorer:
     """
 
     def __init__(self, model: np.ndarray, derive=lambda token: token, kept: int = 60_000):
-        self.model, self.derive, self.kept = model, derive, kept
+        self.model = None if model is None else model.tolist()
+        self.derive, self.kept = derive, kept
         self.seen: dict = {}
         self.older: dict = {}
 
@@ -162,15 +179,17 @@ class Restorer:
             found = self.older.get(token)
             if found is None:
                 said = fold(token)
-                found = self.derive(_RUN.sub(self._run, said) if _NOISY.search(said) else said)
+                said = _RUN.sub(self._run, said) if _NOISY.search(said) else said
+                found = self.derive(said.replace(_GAP, " ").replace(_JOINT, "-"))
             if len(self.seen) >= self.kept // 2:
                 self.older, self.seen = self.seen, {}
             self.seen[token] = found
         return found
 
     def tokens(self, text: str | None) -> list[str]:
-        """The tokens of a text between white space; spelled-out words are one token."""
-        return _SPELLED.sub(lambda m: m[0].replace(m["gap"], ""), text or "").split()
+        """The tokens of a text between white space; a run of spelled letters is one token."""
+        text = _SPELLED.sub(lambda m: _GAPS.sub(_GAP, m[0]), text or "")
+        return _JOINTS.sub(_JOINT, text).split()
 
     def __call__(self, text: str | None) -> str:
         return " ".join(map(self.token, self.tokens(text)))

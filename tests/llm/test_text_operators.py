@@ -220,6 +220,22 @@ def test_obfuscated_words_are_restored(spark):
         assert restore(said) == meant
 
 
+def test_viterbi_places_the_edges_of_spaced_words(spark):
+    sentence = (
+        "you are an idiot and such a fool i see a good idiot again you fool or a stupid clown but the well known loser "
+        "is not an idiot at all and a man is not a good fool if you are a sad idiot "
+    )
+    docs = spark.createDataFrame([(i, sentence * 5) for i in range(20)], "doc_id long, text string")
+    restore = toxicity.Restorer(toxicity.character_model(docs))
+    for said, meant in {
+        "you are a i d i o t": "you are a idiot", "such a f o o l": "such a fool", "y o u i d i o t": "you idiot",
+        "i d i o t a gain": "idiot a gain", "s a d": "sad", "i  d  i  o  t": "idiot", "i,d,i,o,t": "idiot",
+        "c/l/o/w/n": "clown", "i-diot": "idiot", "'i d 1 o t'": "'idiot'", "stuupid": "stupid", "good fool": "good fool",
+        "well-known": "well known", "1 2 3": "1 2 3",
+    }.items():
+        assert restore(said) == meant, said
+
+
 def test_toxicity_without_labels_and_of_edges(spark, edges):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     fitted = toxicity.learn(edges, none)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
+    alignment,
     decontaminate,
     mixing,
     naming,
@@ -149,6 +150,17 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How byte-level and piece tokens of every document lie over each other, and how usual their pairs are."""
+    import public_tokenizers as files
+
+    # the rank file is the vocabulary of byte_bpe_50k.json, encoded several times faster
+    first = alignment.Vocabulary(files.path("byte_bpe_50k.tiktoken"), before=" ", pattern=files.PATTERN)
+    second = alignment.Vocabulary(files.path("piece_bpe_32k.model"))
+    found = alignment.align(table(spark, folder, "documents"), first, second, keep=["doc_id"])
+    return found.select(F.col("doc.doc_id").alias("doc_id"), *found.columns[2:])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_toxicity": op2_toxicity,
@@ -160,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_naming": op9_naming,
     "op10_simhash": op10_simhash,
+    "op13_alignment": op13_alignment,
 }
 
 #: Expected results as DuckDB SQL, where SQL can express them.

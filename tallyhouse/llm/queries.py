@@ -19,6 +19,7 @@ from tallyhouse.llm import (
     simhash,
     tokens,
     toxicity,
+    whitening,
 )
 from tallyhouse.llm.store import new_folder, table
 
@@ -150,6 +151,20 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding along its first 8 principal components, whitened."""
+    found = whitening.whiten(table(spark, folder, "embeddings"), keep=["vec_id"], most=8)
+    return found.select(
+        F.col("doc.vec_id").alias("vec_id"),
+        "component",
+        "n",
+        F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """How byte-level and piece tokens of every document lie over each other, and how usual their pairs are."""
     import public_tokenizers as files
@@ -172,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_naming": op9_naming,
     "op10_simhash": op10_simhash,
+    "op12_whitening": op12_whitening,
     "op13_alignment": op13_alignment,
 }
 

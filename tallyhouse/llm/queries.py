@@ -12,6 +12,7 @@ from tallyhouse.llm import (
     decontaminate,
     mixing,
     naming,
+    ngram_join,
     pages,
     preferences,
     secret_scan,
@@ -151,6 +152,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under links of sets of 3-word shingles at 0.9 and more."""
+    docs = table(spark, folder, "documents")
+    found = ngram_join.component_ids(docs, keep=["doc_id"], size=3, percent=90)
+    return found.select(F.col("doc.doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Every usable embedding along its first 8 principal components, whitened."""
     found = whitening.whiten(table(spark, folder, "embeddings"), keep=["vec_id"], most=8)
@@ -187,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_naming": op9_naming,
     "op10_simhash": op10_simhash,
+    "op11_ngram_join": op11_ngram_join,
     "op12_whitening": op12_whitening,
     "op13_alignment": op13_alignment,
 }
@@ -289,5 +298,34 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
     sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op11_ngram_join": r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT r, array_to_string(words[p : p + 2], ' ') AS said
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS p FROM d WHERE len(words) > 0)
+), g AS (
+    SELECT r, count(*) AS n, md5(string_agg(said, chr(10) ORDER BY said)) AS class FROM s GROUP BY r
+), c AS (
+    SELECT class, min(r) AS r, min(n) AS n FROM g GROUP BY class
+), k AS (
+    SELECT c.class, c.n, s.said FROM c JOIN s USING (r)
+), l AS (
+    SELECT x.class AS a, y.class AS b
+    FROM k x JOIN k y ON x.said = y.said AND x.class <> y.class AND 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+    GROUP BY x.class, y.class, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT class AS a, class AS b FROM c
+    UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+), root AS (
+    SELECT a AS class, min(b) AS root FROM reach GROUP BY a
+), least_id AS (
+    SELECT root, min(doc_id) AS component_id FROM d JOIN g USING (r) JOIN root USING (class) GROUP BY root
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM d LEFT JOIN g USING (r) LEFT JOIN root USING (class) LEFT JOIN least_id USING (root)
 """,
 }

@@ -13,13 +13,19 @@ no partition, and adding both gives the running total. Their sizes are bounded
 by arithmetic, not by the data:
 
 * a block holds at most 2^20 whole numbers;
-* values that are not negative and have a sum below 2^63 fill fewer than 2^23
-  blocks: at most 2^21 blocks start below 2^41, and fewer than 2^22 values can be
-  larger. Ordinary amounts fill some dozens.
+* LONG values with a sum of sizes below 2^63 fill fewer than 2^23 blocks: at most
+  2^22 blocks lie between -2^41 and 2^41, and fewer than 2^22 values can be larger.
+  Ordinary amounts fill some dozens.
 
 For keys without such a sum, such as ids, ``levels`` repeats the step on the
-blocks. Block numbers depend on the value alone, so a task that runs again after
-a lost executor gives the same rows. Nothing is sampled and nothing is collected.
+blocks. Amounts beyond 64 bits (DECIMAL(38,0), up to 10^36) are cut into two LONG
+limbs of 18 digits: totals per high limb, with blocks of their own, are added to
+those within it. Every window then sees at most 2^21 keys.
+
+A null value is lower than every known one, also below negative ones: its order key
+is ``lowest`` and it adds nothing to a total. Block numbers depend on the value
+alone, so a task that runs again after a lost executor gives the same rows. Nothing
+is sampled and nothing is collected.
 """
 
 from __future__ import annotations
@@ -28,10 +34,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tallyhouse.functions.numbers import WHOLE
 
 BLOCK_BITS = 20
+#: Digits of the lower limb of a wide key.
+LIMB = 18
+#: Order keys of null: no amount of this type is as low.
+LOWEST_LONG, LOWEST_WHOLE = -(2**63 - 1), -(10**36)
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -45,23 +56,31 @@ def prefix_totals(
     within: Sequence[str] = (),
     bits: int = BLOCK_BITS,
     levels: int = 1,
+    high: str | None = None,
 ) -> DataFrame:
     """Add ``before_<m>``: the sum of m over the rows with a smaller key.
 
     ``key`` is a non-null LONG, unique within the (non-null) ``within`` columns,
-    and ``measures`` are not null.
+    and ``measures`` are not null. With ``high``, another LONG column, rows are ordered
+    by it first and by ``key`` within it.
     """
-    if levels == 0:
+    parts = [*within, high] if high else list(within)
+    if levels == 0 and high is None:
         return _running(frame, key, measures, within)
 
-    block = f"_block{levels}"
-    marked = frame.withColumn(block, F.shiftright(key, bits))
-    blocks = marked.groupBy(*within, block).agg(*[F.sum(m).alias(m) for m in measures])
-    offsets = prefix_totals(blocks, block, measures, within, bits, levels - 1).select(
-        *within, block, *[F.col(f"before_{m}").alias(f"_offset_{m}") for m in measures]
+    if levels == 0:
+        marked, block = frame, high
+        above = lambda sums: prefix_totals(sums, high, measures, within, bits, 2)
+    else:
+        parts.append(block := f"_block{levels}{high or ''}")
+        marked = frame.withColumn(block, F.shiftright(key, bits))
+        above = lambda sums: prefix_totals(sums, block, measures, within, bits, levels - 1, high)
+    blocks = marked.groupBy(*parts).agg(*[F.sum(m).alias(m) for m in measures])
+    offsets = above(blocks).select(
+        *parts, *[F.col(f"before_{m}").alias(f"_offset_{m}") for m in measures]
     )
-    local = _running(marked, key, measures, (*within, block))
-    return local.join(offsets, [*within, block]).select(
+    local = _running(marked, key, measures, parts)
+    return local.join(offsets, parts).select(
         *frame.columns,
         *[(F.col(f"before_{m}") + F.col(f"_offset_{m}")).alias(f"before_{m}") for m in measures],
     )
@@ -79,37 +98,47 @@ def _running(
     )
 
 
-def known(frame: DataFrame, value: str) -> DataFrame:
-    """The frame with null values (a sum over unpriced products) as 0, values as LONG.
+def is_wide(frame: DataFrame, value: str) -> bool:
+    """Whether amounts of a column may go beyond 64 bits."""
+    return isinstance(frame.schema[value].dataType, DecimalType)
+
+
+def lowest(wide: bool) -> Column:
+    """The order key of null."""
+    return F.lit(str(LOWEST_WHOLE)).cast(WHOLE) if wide else F.lit(LOWEST_LONG).cast("long")
+
+
+def with_order_key(frame: DataFrame, value: str, key: str = "_key") -> DataFrame:
+    """Add the order key of a value: the value itself as LONG or DECIMAL(38,0), null as the lowest.
 
     A column that cannot be null also spares the filter Spark would push into one
     branch of a self-join, which would keep the branches from sharing a shuffle.
     """
-    zero = F.lit(0).cast("long")
-    return frame.withColumn(value, F.coalesce(F.col(value).cast("long"), zero))
+    wide = is_wide(frame, value)
+    return frame.withColumn(
+        key, F.coalesce(F.col(value).cast(WHOLE if wide else "long"), lowest(wide))
+    )
 
 
-def value_groups(frame: DataFrame, value: str, within: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct value (a non-negative LONG) and group.
+def value_groups(frame: DataFrame, key: str, within: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct order key and group.
 
-    Adds ``rows``, ``total`` = value x rows and ``steps`` = 1.
+    Adds ``rows``, ``total`` = value x rows (0 for null) and ``steps`` = 1.
     """
+    wide = is_wide(frame, key)
+    value = F.col(key) if wide else F.col(key).cast("decimal(19,0)")
+    known = F.when(F.col(key) == lowest(wide), F.lit(0)).otherwise(
+        (value * F.col("rows").cast("decimal(18,0)")).cast(WHOLE)
+    )
     return (
-        known(frame, value)
-        .groupBy(*within, value)
+        frame.groupBy(*within, key)
         .agg(F.count(F.lit(1)).alias("rows"))
-        .select(
-            "*",
-            (F.col(value).cast("decimal(19,0)") * F.col("rows").cast("decimal(18,0)"))
-            .cast(WHOLE)
-            .alias("total"),
-            F.lit(1).cast("long").alias("steps"),
-        )
+        .select("*", known.cast(WHOLE).alias("total"), F.lit(1).cast("long").alias("steps"))
     )
 
 
 def climb(
-    groups: DataFrame, value: str, within: Sequence[str] = (), descending: bool = True
+    groups: DataFrame, key: str, within: Sequence[str] = (), descending: bool = True
 ) -> DataFrame:
     """Add ``before_rows``, ``before_total`` and ``before_steps`` to value groups.
 
@@ -117,10 +146,18 @@ def climb(
     rank before_steps + 1, and a running sum in which ties share a value is
     before_total + total.
     """
-    key = -F.col(value) if descending else F.col(value)
-    return prefix_totals(
-        groups.withColumn("_key", key), "_key", ("rows", "total", "steps"), within
-    ).drop("_key")
+    measures, wide = ("rows", "total", "steps"), is_wide(groups, key)
+    # a decimal is subtracted from 0, as its negation keeps 34 digits only
+    order = (F.lit(0).cast(WHOLE) - F.col(key) if wide else -F.col(key)) if descending else F.col(key)
+    if not wide:
+        ordered = groups.withColumn("_order", order)
+        return prefix_totals(ordered, "_order", measures, within).drop("_order")
+    limb = F.lit(10**LIMB).cast("decimal(19,0)")
+    low = F.pmod(order, limb)
+    cut = groups.withColumns(
+        {"_low": low.cast("long"), "_high": _div(order - low.cast(WHOLE), limb).cast("long")}
+    )
+    return prefix_totals(cut, "_low", measures, within, levels=2, high="_high").drop("_low", "_high")
 
 
 def with_dense_rank(
@@ -138,14 +175,13 @@ def with_dense_rank(
     to d * d / 2 at least, so a table of 10^12 rows has at most 1.5 million of them. Their
     ranks are broadcast then, and the rows are not shuffled by a key of few values.
     """
-    least = F.lit(-1).cast("long")
-    keyed = frame.withColumn("_value", F.coalesce(F.col(value).cast("long"), least))
-    ranks = climb(value_groups(keyed, "_value", within), "_value", within, descending).select(
-        *within, "_value", (F.col("before_steps") + 1).alias(rank)
+    keyed = with_order_key(frame, value)
+    ranks = climb(value_groups(keyed, "_key", within), "_key", within, descending).select(
+        *within, "_key", (F.col("before_steps") + 1).alias(rank)
     )
     if counts and not within:
         ranks = F.broadcast(ranks)
-    return keyed.join(ranks, [*within, "_value"]).drop("_value")
+    return keyed.join(ranks, [*within, "_key"]).drop("_key")
 
 
 def with_tile(
@@ -155,19 +191,15 @@ def with_tile(
 
     Equal values are numbered by ascending tiebreak, a unique LONG.
     """
-    frame = known(frame, tiebreak)
-    groups = value_groups(frame, value)
-    before = climb(groups, value, (), descending).select(value, "before_rows")
+    keyed = with_order_key(with_order_key(frame, value), tiebreak, "_id")
+    groups = value_groups(keyed, "_key")
+    before = climb(groups, "_key", (), descending).select("_key", "before_rows")
     numbered = prefix_totals(
-        known(frame, value).withColumn("_one", F.lit(1).cast("long")),
-        tiebreak,
-        ("_one",),
-        (value,),
-        levels=2,
+        keyed.withColumn("_one", F.lit(1).cast("long")), "_id", ("_one",), ("_key",), levels=2
     )
     position = F.col("before_rows") + F.col("before__one") + 1
     return (
-        numbered.join(before, value)
+        numbered.join(before, "_key")
         .select(*frame.columns, position.alias("position"), count_of(groups).alias("_n"))
         .withColumn("tile", tile_of(F.col("position"), F.col("_n"), tiles))
         .drop("_n")
@@ -194,9 +226,10 @@ def tile_sums(frame: DataFrame, value: str, tiles: int) -> DataFrame:
     Equal values are interchangeable in a sum, so the result needs no tie-break: a
     run of equal values is cut where a tile ends.
     """
-    groups = value_groups(frame, value)
-    placed = climb(groups, value).select(
-        value,
+    groups = value_groups(with_order_key(frame, value), "_key")
+    wide = is_wide(groups, "_key")
+    placed = climb(groups, "_key").select(
+        F.when(F.col("_key") == lowest(wide), F.lit(0)).otherwise(F.col("_key")).cast(WHOLE).alias("_each"),
         (F.col("before_rows") + 1).alias("first"),
         (F.col("before_rows") + F.col("rows")).alias("last"),
         count_of(groups).alias("n"),
@@ -218,7 +251,5 @@ def tile_sums(frame: DataFrame, value: str, tiles: int) -> DataFrame:
     )
     return cut.groupBy("tile").agg(
         F.sum("rows").alias("rows"),
-        F.sum(
-            (F.col(value).cast("decimal(19,0)") * F.col("rows").cast("decimal(18,0)")).cast(WHOLE)
-        ).alias("total"),
+        F.sum((F.col("_each") * F.col("rows").cast("decimal(18,0)")).cast(WHOLE)).alias("total"),
     )

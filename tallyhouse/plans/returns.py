@@ -77,8 +77,9 @@ def return_impact_by_product(t: Tables) -> DataFrame:
     prices = t.products.select(
         "product_id", "product_name", cents(F.col("price")).alias("price_cents")
     )
-    returned = F.col("returned") * F.col("price_cents")
-    total = F.col("quantity") * F.col("price_cents")
+    # one product may go beyond 64 bits
+    returned = F.col("returned").cast("decimal(19,0)") * F.col("price_cents")
+    total = F.col("quantity").cast("decimal(19,0)") * F.col("price_cents")
     return (
         sold.join(prices, "product_id")
         .select(

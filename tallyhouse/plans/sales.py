@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.numbers import mean_money, money, total
+from tallyhouse.functions.numbers import WHOLE, mean_money, money, total
 from tallyhouse.functions.periods import month_of, month_start, year_month, year_of
 from tallyhouse.operators import facts
 from tallyhouse.operators.growth import period_growth
 from tallyhouse.operators.measures import (
     average_order_value, gross_net_returned, revenue_by, total_by,
 )
+from tallyhouse.operators.places import with_places
 from tallyhouse.operators.ranking import rank_few, sort_few, top_k_with_ties, with_extremes
 from tallyhouse.operators.shares import contribution, contribution_of_few, total_of
 from tallyhouse.plans.registry import plan
@@ -172,13 +173,20 @@ def category_contribution(t: Tables) -> DataFrame:
 @plan("q01_11b_top_product_contribution")
 def top_product_contribution(t: Tables, k: int = 10) -> DataFrame:
     names = total_by(facts.product_fact(t, facts.ALL, "product_name"), ("product_name",))
-    # row by row, in name order among ties; the window holds the top rows only
-    so_far = Window.orderBy(F.desc("cents"), "product_name").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    running = total(F.col("cents")).over(so_far).cast("double")
+    top = top_k_with_ties(names, "cents", "revenue_rank", k)
+    # at most k rows: what the values above each of the k highest add up to
+    earlier = Window.orderBy("revenue_rank").rowsBetween(Window.unboundedPreceding, -1)
+    above = (
+        top.groupBy("revenue_rank")
+        .agg(total(F.col("cents")).alias("_sum"))
+        .select("revenue_rank", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_above"))
+    )
+    # row by row, in name order among ties
+    placed = with_places(top, "revenue_rank", "product_name", "_place")
+    so_far = F.col("_above") + F.coalesce("cents", F.lit(0)) * F.col("_place").cast("decimal(19,0)")
+    running = so_far.cast(WHOLE).cast("double")
     return (
-        contribution(top_k_with_ties(names, "cents", "revenue_rank", k), "cents", names)
+        contribution(placed.join(F.broadcast(above), "revenue_rank"), "cents", names)
         .withColumn("_total", total_of(names, "cents").cast("double"))
         .select(
             "product_name",

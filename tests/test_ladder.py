@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tallyhouse.operators.concentration import bucket_share, long_tail, pareto_head
 from tallyhouse.operators.ladder import (
-    climb, prefix_totals, tile_sums, value_groups, with_dense_rank, with_tile,
+    climb, prefix_totals, tile_sums, value_groups, with_dense_rank, with_order_key, with_tile,
 )
 from tallyhouse.operators.ranking import top_k_with_ties
 
@@ -77,8 +78,8 @@ def test_climb_equals_plain_windows(spark, descending):
         F.dense_rank().over(Window.orderBy(order)).cast("long"),
         F.sum("v").over(Window.orderBy(order)),
     ).distinct()
-    ladder = climb(value_groups(frame, "v"), "v", (), descending).select(
-        "v",
+    ladder = climb(value_groups(with_order_key(frame, "v"), "_key"), "_key", (), descending).select(
+        "_key",
         F.col("before_rows") + 1,
         F.col("before_steps") + 1,
         F.col("before_total") + F.col("total"),
@@ -116,6 +117,64 @@ def test_null_value_is_ranked_below_zero(spark):
     assert sorted(rows(with_dense_rank(frame, "v", "r").select("id", "r"))) == [(1, 1), (2, 3), (3, 2)]
 
 
+#: Beyond 64 bits on both sides of zero, at the edges of the limbs, ties, and nulls.
+WIDE = [
+    10**30, 10**30, 10**30 + 1, 10**18, 10**18 - 1, 10**18 + 1, 2**63, 2**63 - 1, 5, 5, 1, 0, 0, -1, -1, -5,
+    -(10**18), -(10**18) - 1, -(10**18) + 1, -(2**63) - 7, -(10**30), None, None, 7 * 10**35, -(7 * 10**35),
+]
+
+
+def wide_frame(spark, values=WIDE, groups=1):
+    data = [(g, i, None if v is None else Decimal(v)) for g in range(groups) for i, v in enumerate(values[g:])]
+    return spark.createDataFrame(data, "g long, id long, v decimal(38,0)").repartition(3)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_wide_signed_values_and_nulls_rank_as_in_a_plain_window(spark, descending):
+    frame = wide_frame(spark, groups=3)
+    window = Window.partitionBy("g").orderBy(F.desc("v") if descending else F.asc("v"))
+    plain = frame.select("g", "id", "v", F.dense_rank().over(window).cast("long"))
+    ranked = with_dense_rank(frame, "v", "r", ["g"], descending).select("g", "id", "v", "r")
+    order = lambda row: (row[0], row[1])
+    assert sorted(rows(ranked), key=order) == sorted(rows(plain), key=order)
+
+
+def test_wide_running_sums_and_tiles(spark):
+    draw = random.Random(9)
+    values = WIDE + [draw.randrange(-(10**25), 10**25) for _ in range(200)] + [10**24] * 50
+    frame = wide_frame(spark, values)
+    keyed = with_order_key(frame, "v")
+    window = Window.orderBy(F.desc_nulls_last("v"))
+    plain = keyed.select("_key", F.sum("v").over(window)).distinct()
+    ladder = climb(value_groups(keyed, "_key"), "_key").select("_key", F.col("before_total") + F.col("total"))
+    assert sorted(rows(ladder)) == sorted(rows(plain))
+    sums = {t: (r, s) for t, r, s in rows(tile_sums(frame, "v", 7).select("tile", "rows", "total"))}
+    by_hand = tiles_by_hand([-(10**37) if v is None else v for v in values], 7)
+    assert {t: r for t, (r, _) in sums.items()} == {t: r for t, (r, _) in by_hand.items()}
+    assert [sums[t][1] for t in range(1, 7)] == [by_hand[t][1] for t in range(1, 7)]
+    assert sums[7][1] == by_hand[7][1] + 2 * 10**37
+    order = Window.orderBy(F.desc_nulls_last("v"), "id")
+    plain = frame.select("id", F.row_number().over(order).cast("long"), F.ntile(7).over(order).cast("long"))
+    assert sorted(rows(with_tile(frame, "v", "id", 7).select("id", "position", "tile"))) == sorted(rows(plain))
+
+
+def test_long_null_is_below_negative_values(spark):
+    data = [(1, 5), (2, None), (3, -500), (4, -1), (5, None)]
+    frame = spark.createDataFrame(data, "id long, v long")
+    ranked = with_dense_rank(frame, "v", "r").select("id", "v", "r")
+    assert sorted(rows(ranked), key=lambda r: r[0]) == [(1, 5, 1), (2, None, 4), (3, -500, 3), (4, -1, 2), (5, None, 4)]
+    placed = with_tile(frame, "v", "id", 2).select("id", "position")
+    assert sorted(rows(placed)) == [(1, 1), (2, 4), (3, 3), (4, 2), (5, 5)]
+
+
+@quick
+@given(values=st.lists(st.integers(-(10**36) + 1, 10**36 - 1) | st.integers(-3, 3) | st.none(), min_size=1, max_size=40))
+def test_wide_ranks_of_any_values(spark, values):
+    got = {i: r for i, r in rows(with_dense_rank(wide_frame(spark, values), "v", "r").select("id", "r"))}
+    distinct = sorted({v for v in values if v is not None}, reverse=True)
+    assert got == {i: len(distinct) + 1 if v is None else distinct.index(v) + 1 for i, v in enumerate(values)}
+
+
 def test_top_k_keeps_every_tie(spark):
     data = [(i, 100 - i) for i in range(9)] + [(i, 10) for i in range(9, 500)] + [(500, 1)]
     frame = spark.createDataFrame(data, "id long, v long")

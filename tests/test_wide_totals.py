@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 
 from conftest import rows
-from tallyhouse.plans import PLANS, baskets, products, sales
+from tallyhouse.plans import PLANS, baskets, efficiency, products, sales
 from tallyhouse.sources.tables import from_frames, load_native
 
 MONEY = sorted(
@@ -38,6 +38,30 @@ def test_totals_beyond_64_bits(shop, name):
     assert PLANS[name](large_shop(shop, one_product=False)).collect() is not None
 
 
+@pytest.mark.parametrize("name", MONEY)
+def test_one_product_beyond_64_bits_in_every_report(shop, name):
+    assert PLANS[name](large_shop(shop, one_product=True)).collect() is not None
+
+
+def test_ranks_and_running_sums_of_one_product_beyond_64_bits(shop):
+    orders = [(k, 1, "2024-01-01", False) for k in range(1, 61)]
+    lines = [(k, 1, 2_000_000_000) for k in range(1, 61)] + [(1, 2, 5), (2, 3, -5), (3, 4, 1), (4, 5, 0)]
+    priced = [(1, PRICE), (2, "10.00"), (3, "10.00"), (4, None), (5, "1.00")]
+    t = shop(orders=orders, lines=lines, products=[(p, price, f"p{p}") for p, price in priced])
+    most = PRICE * 2_000_000_000 * 60
+    assert int(most * 100) > 2**63
+    # null comes last, below the negative revenue
+    assert [(r[1], r[3], r[4]) for r in products.product_rank_by_region(t).collect()] == [
+        (1, most, 1), (2, Decimal("50.00"), 2), (5, Decimal("0.00"), 3), (3, Decimal("-50.00"), 4), (4, None, 5),
+    ]
+    assert [(r[0], r[2], r[4]) for r in products.top_products_by_revenue(t).collect()] == [
+        (1, most, 1), (2, Decimal("50.00"), 2), (5, Decimal("0.00"), 3), (3, Decimal("-50.00"), 4), (4, None, 5),
+    ]
+    assert rows(products.pareto_products(t)) == []
+    assert [r[0] for r in products.pareto_products(t, percent=100).collect()] == [1, 3, 4]
+    assert rows(efficiency.long_tail_of_products(t))[0][0] == 100.0
+
+
 def test_one_product_beyond_64_bits(shop):
     t = large_shop(shop, one_product=True)
     total = PRICE * 12_000_000 * 120

@@ -36,8 +36,8 @@ from tallyhouse.llm.store import Spool
 
 #: n-grams and texts that a task packs together, and n-grams that one range of cells holds.
 PACK, PACKED_TEXTS, RANGE = 1 << 21, 50_000, 1 << 21
-#: Bytes of text that are hashed at once.
-STRETCH = 1 << 20
+#: Bytes of text that are hashed at once, and classes that a task remembers.
+STRETCH, SEEN = 1 << 20, 1 << 18
 #: How often the suffix filter halves both sides.
 DEPTH = 3
 
@@ -237,10 +237,21 @@ def _left(percent: int):
 
 def _signed(size: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts with their class; a class that a task has seen lately is not sent again."""
+        seen: set[bytes] = set()
         for batch in batches:
-            sets = shingle_sets(batch.column("text"), size)
-            sigs = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([sigs, batch.column("text")], ["sig", "text"])
+            sigs, new = [], []
+            for k, grams in enumerate(shingle_sets(batch.column("text"), size)):
+                sig = xxhash.xxh3_128_digest(grams.tobytes())
+                if sig not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(sig)
+                    sigs.append(sig)
+                    new.append(k)
+            if new:
+                texts = batch.column("text").take(pa.array(new))
+                yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.binary()), texts], ["sig", "text"])
 
     return sign
 
@@ -252,7 +263,7 @@ def _listed(size: int):
             edges = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
             grams = pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("sig"), batch.column("node"), grams], ["sig", "node", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), grams], ["sig", "grams"])
 
     return listed
 
@@ -343,15 +354,17 @@ class NgramJoin:
             .applyInArrow(_met, "pack binary, who binary, times binary")
             .select("*", none.alias("sigs"), none.alias("counts"))
         )
-        left = met.unionByName(heads).groupBy("pack").applyInArrow(_left(self.percent), "sig binary")
-        return self.spool.write(left.distinct())
+        return met.unionByName(heads).groupBy("pack").applyInArrow(_left(self.percent), "sig binary")
 
     def _classes(self, texts: DataFrame, partners: DataFrame) -> DataFrame:
-        signed = texts.mapInArrow(_signed(self.size), "sig binary, text string").join(partners, "sig", "left_semi")
-        one = self.spool.write(
-            signed.groupBy("sig").agg(F.first("text").alias("text")).withColumn("node", F.monotonically_increasing_id())
+        # always a shuffle: the partners are no few rows of a large table
+        signed = texts.mapInArrow(_signed(self.size), "sig binary, text string")
+        one = signed.join(partners.hint("merge"), "sig", "left_semi").groupBy("sig").agg(F.first("text").alias("text"))
+        sets = self.spool.write(
+            one.mapInArrow(_listed(self.size), "sig binary, grams array<long>").withColumn(
+                "node", F.monotonically_increasing_id()
+            )
         )
-        sets = self.spool.write(one.mapInArrow(_listed(self.size), "sig binary, node long, grams array<long>"))
         grams = sets.select("node", F.explode("grams").alias("gram"))
         often = self.spool.write(grams.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1"))
         # one number orders n-grams by powers of two of their frequency, and then by their hash
@@ -364,7 +377,7 @@ class NgramJoin:
         classes = self.spool.write(
             sets.select("sig", "node", F.size("grams").cast("long").alias("n")).join(keys, "node")
         )
-        self.spool.drop(partners, one, sets, often)
+        self.spool.drop(sets, often)
         return classes
 
     def postings(self) -> DataFrame:
@@ -406,33 +419,27 @@ class NgramJoin:
 
     def links(self) -> DataFrame:
         """All pairs of linked classes (a, b: numbers of `classes`, a < b) with `common`, each verified once."""
-        posted = self.spool.write(self.postings())
+        posted = self.postings()
         return self._verify(self._pairs(posted, posted, F.col("x.node") < F.col("y.node")))
 
     def roots(self) -> DataFrame:
         """(sig, root) for every class that has a link; root numbers the component."""
-        spool = self.spool
-        posted = spool.write(self.postings())
+        spool, posted = self.spool, self.postings()
         centre = posted.groupBy("key").agg(F.min(F.struct("own", "node", "n", "at")).alias("c"), F.count("*").alias("held"))
-        centre = spool.write(centre.where("held > 1").select("key", "c.*"))
+        centre = centre.where("held > 1").select("key", "c.*")
         first = spool.write(self._verify(self._pairs(posted, centre, F.col("x.node") != F.col("y.node"))))
-        joined = spool.write(components(first, spool))
+        joined = components(first, spool)
 
         # of each cell the largest component is one side, and all classes outside of it the other
-        placed = spool.write(
-            posted.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        )
+        placed = posted.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sizes = placed.groupBy("key", "root").agg(F.count("*").alias("held"))
         main = sizes.groupBy("key").agg(F.max(F.struct("held", "root")).alias("m"), F.count("*").alias("parts"))
-        main = spool.write(main.where("parts > 1").select("key", F.col("m.root").alias("main")))
-        apart = spool.write(placed.join(main, "key"))
-        outside = apart.where("root <> main")
+        apart = placed.join(main.where("parts > 1").select("key", F.col("m.root").alias("main")), "key")
         differ = (F.col("x.root") != F.col("y.root")) & ((F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-        second = spool.write(self._verify(self._pairs(outside, apart, differ)))
-        ends = spool.write(components(first.unionByName(second).select("a", "b"), spool))
-        found = spool.write(ends.join(self.classes, "node").select("sig", "root"))
-        spool.drop(posted, centre, first, joined, placed, main, apart, second, ends)
-        return found
+        second = spool.write(self._verify(self._pairs(apart.where("root <> main"), apart, differ)))
+        if second.first() is not None:
+            joined = components(first.unionByName(second).select("a", "b"), spool)
+        return joined.join(self.classes, "node").select("sig", "root")
 
 
 def component_ids(

@@ -23,11 +23,12 @@ def last_year(t: Tables, as_of: date | None) -> DataFrame:
     """Non-returned lines dated from 12 months before as_of (default: the latest order).
 
     The date cuts the orders before they meet the lines, and so the lines before
-    they meet the products.
+    they meet the products. A layout by month reads the months since then only.
     """
     end = t.orders.agg(F.max("order_date")).scalar() if as_of is None else F.lit(as_of)
-    recent = facts.order_line_fact(t, facts.NET, ("order_date", "cents"))
-    return recent.where(F.col("order_date") >= F.add_months(end, -12))
+    start = F.add_months(end, -12)
+    recent = facts.order_line_fact(t.since(start), facts.NET, ("order_date", "cents"))
+    return recent.where(F.col("order_date") >= start)
 
 
 @plan("q04_01a_last_year_by_month")

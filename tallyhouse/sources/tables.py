@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,18 @@ class Tables:
     keep (it removes no unused inner join).
     """
 
-    def __init__(self, **opener: Callable[[], DataFrame]) -> None:
+    def __init__(self, since: Callable[[Column], Tables] | None = None, **opener: Callable[[], DataFrame]) -> None:
         self._opener = opener
         self._opened: dict[str, DataFrame] = {}
+        self._since = since
+
+    def since(self, start: Column) -> Tables:
+        """The tables without what the layout can skip of the time before ``start``.
+
+        A layout by month leaves out older months of orders and lines; others skip
+        nothing. Rows of the first month stay, so the date is still to be compared.
+        """
+        return self if self._since is None else self._since(start)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._opener:
@@ -97,11 +106,15 @@ STAR = {
 
 def from_frames(**frames: DataFrame) -> Tables:
     """Tables over the five frames that already have the logical columns."""
-    return _native(lambda name: frames[name], lambda: frames["lines"])
+    return native_tables(lambda name: frames[name], lambda: frames["lines"])
 
 
-def _native(open_table: Callable[[str], DataFrame], open_lines: Callable[[], DataFrame]) -> Tables:
-    """``open_lines`` opens the lines with all columns of the files."""
+def native_tables(
+    open_table: Callable[[str], DataFrame],
+    open_lines: Callable[[], DataFrame],
+    since: Callable[[Column], Tables] | None = None,
+) -> Tables:
+    """Tables of the native columns; ``open_lines`` opens the lines with all columns of the files."""
 
     def names() -> DataFrame:
         return open_table("customers").select("customer_id", "customer_name")
@@ -113,6 +126,7 @@ def _native(open_table: Callable[[str], DataFrame], open_lines: Callable[[], Dat
         return lines.select(F.col("order_detail_id").cast("long").alias("order_detail_id"))
 
     return Tables(
+        since,
         customer_names=names,
         line_keys=line_keys,
         **{name: partial(open_table, name) for name in NATIVE},
@@ -206,4 +220,4 @@ def load_native(spark: SparkSession, folder: str, fmt: str = "parquet") -> Table
     def whole_lines() -> DataFrame:
         return spark.read.format(fmt).option("header", True).load(f"{folder}/lines")
 
-    return _native(scan, whole_lines)
+    return native_tables(scan, whole_lines)

@@ -6,9 +6,13 @@ each character may stand for itself, for the letters it is used for, or for noth
 the edge of a word or for nothing. The Viterbi path under the character model is the restored text. The score is learnt and applied on restored texts.
 
 Learning takes, for each word and word beginning, a lower bound of the share of toxic texts among the
-labelled texts that hold it. Each toxic text then votes for its most reliable feature, and features with
+labelled texts that hold it. Each toxic text then votes for its most reliable features, and features with
 too few votes go: what merely accompanies an insult, such as the rare words of a much copied text, is
-never the most reliable one. A text's score is the chance that one of its features is right.
+seldom among the most reliable ones. Words that are all but certain need no votes, as insults that come
+together would hide each other. A text's score is the chance that one of its features is right.
+
+Once the features are known, most words are settled by their first letters: a plain word can only be restored
+to a word that begins alike, up to repeated letters, so the lattice is left to the few others.
 """
 
 from __future__ import annotations
@@ -26,10 +30,12 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.store import Spool
 
-#: Labelled rows that are used for learning (by hash of the identifier), and features of a model, at most.
-MAX_LABELLED, MAX_FEATURES = 60_000, 100_000
+#: Labelled rows that are used for learning (by hash of the identifier), at most; they bound the features too.
+MAX_LABELLED = 60_000
 #: Votes and bound that a feature needs, and how many standard deviations the bound lies below the share.
 MIN_VOTES, MIN_BOUND, SIGMAS = 2, 0.6, 1.64
+#: Whole words with this bound need no votes.
+SURE = 0.9
 #: Scores from here on are toxic.
 THRESHOLD = 0.3
 #: Lengths of word beginnings that are features.
@@ -60,6 +66,7 @@ _JOINTS = re.compile(r"(?<=[A-Za-z])[._*\-,/](?=[A-Za-z])")
 #: In a token: a sign, digit or separator next to a letter, or a letter twice.
 _NOISY = re.compile(rf"[a-z][{_SIGNS}{_GAP}{_JOINT}]|[{_SIGNS}{_GAP}][a-z]|([a-z])\1")
 _RUN = re.compile(rf"[a-z{_SIGNS}{_GAP}{_JOINT}]+")
+_TWICE, _LONGER = re.compile(r"([a-z])\1"), re.compile(r"([a-z])\1\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _SIZE = 27
 _CODES = bytes(c - 96 if 97 <= c <= 122 else 0 for c in range(256))
@@ -150,6 +157,25 @@ def decode(token: str, model: list) -> str:
     return max((score + model[a][b][0], said) for (a, b), (score, said) in paths.items())[1]
 
 
+def single(word: str, model: list) -> str:
+    """`decode` of plain letters of which none stands more than twice in a row.
+
+    Behind a pair the last two letters are the same whether its second letter stands or not, so each pair
+    is settled by its own and the following letter.
+    """
+    kept, start = [], 0
+    for pair in _TWICE.finditer(word):
+        i, j = pair.span()
+        before = ord(word[i - 1]) - 96 if i else 0
+        after = ord(word[j]) - 96 if j < len(word) else 0
+        letter = ord(word[i]) - 96
+        follow = model[before][letter]
+        if DOUBLED + follow[after] > follow[letter] + model[letter][letter][after]:
+            kept.append(word[start : i + 1])
+            start = j
+    return "".join(kept) + word[start:] if kept else word
+
+
 class Restorer:
     """Restores texts token by token; keeps the tokens it has seen, up to a number.
 
@@ -169,6 +195,8 @@ class Restorer:
         run = re.sub(rf"^([{_SIGNS}])\1+|([{_SIGNS}])\2+$", "", match[0])
         if not _NOISY.search(run):
             return run
+        if run.isalpha() and not _LONGER.search(run):
+            return single(run, self.model)
         # a run of more than three says no more than three
         return decode(re.sub(r"(.)\1{3,}", r"\1\1\1", run), self.model)
 
@@ -205,13 +233,14 @@ def features(restored: str) -> tuple[str, ...]:
     return (*words, *(w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n))
 
 
-def features_among(bounds: dict[str, float]):
-    """A function from restored tokens to those of their features that have a bound.
+def _heads(bounds: dict[str, float]) -> set[str]:
+    """The first letters of all features; all features of a word begin like the word."""
+    return {f[: min(BEGINNINGS)] for f in bounds}
 
-    All features of a word begin like the word, so most words are settled by their first letters.
-    """
-    length = min(BEGINNINGS)
-    heads = {f[:length] for f in bounds}
+
+def features_among(bounds: dict[str, float]):
+    """A function from restored tokens to those of their features that have a bound."""
+    length, heads = min(BEGINNINGS), _heads(bounds)
 
     def among(token: str) -> tuple[str, ...]:
         return tuple(f for w in _words(token) if w[:length] in heads for f in features(w) if f in bounds)
@@ -219,10 +248,40 @@ def features_among(bounds: dict[str, float]):
     return among
 
 
-def _held(restore: Restorer, text: str | None) -> set[str]:
-    """All that a restorer derives of the tokens of a text."""
+def starts_of(bounds: dict[str, float]) -> set[str]:
+    """The first letters that plain words may have which are restored to a word with a feature.
+
+    Of plain letters nothing is restored but that repeated ones go, so these are the heads of the features
+    with any of their letters repeated, as long as a head.
+    """
+    length, found = min(BEGINNINGS), set()
+    for head in _heads(bounds):
+        waiting = [("", 0)]
+        while waiting:
+            said, at = waiting.pop()
+            if len(said) == length:
+                found.add(said)
+                continue
+            if at == len(head):
+                found.add(said)
+            else:
+                waiting.append((said + head[at], at + 1))
+            if said:
+                waiting.append((said + said[-1], at))
+    return found
+
+
+def _held(restore: Restorer, text: str | None, starts: set[str] | None = None) -> set[str]:
+    """All that a restorer derives of the tokens of a text; with `starts`, plain words that begin otherwise are passed over."""
     held: set[str] = set()
+    length = min(BEGINNINGS)
     for token in set(restore.tokens(text)):
+        if starts is not None:
+            plain = token.rstrip(".,;:?")
+            if plain.isalpha():
+                head = plain[:length].lower() if plain.isascii() else fold(plain)
+                if head.isascii() and head.isalpha() and head[:length] not in starts:
+                    continue
         found = restore.seen.get(token)
         if found is None:
             found = restore.token(token)
@@ -256,12 +315,12 @@ def _counted(model: np.ndarray):
 
 def _voted(model: np.ndarray, bounds: dict[str, float]):
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restore, votes = Restorer(model, features_among(bounds)), Counter()
+        restore, starts, votes = Restorer(model, features_among(bounds)), starts_of(bounds), Counter()
         for batch in batches:
             for text in batch["text"]:
-                held = [(bounds[f], f[-1] != "*", f) for f in _held(restore, text)]
-                if held:
-                    votes[max(held)[2]] += 1
+                held = _held(restore, text, starts)
+                best = max(map(bounds.get, held), default=0)
+                votes.update(f for f in held if bounds[f] == best)
         if votes:
             yield pd.DataFrame({"feature": list(votes), "votes": list(votes.values())})
 
@@ -280,12 +339,12 @@ class Toxicity:
 
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            restore = Restorer(model, features_among(bounds))
+            restore, starts = Restorer(model, features_among(bounds)), starts_of(bounds)
             for texts in batches:
                 found = []
                 for text in texts:
                     left = 1 - base
-                    for f in sorted(_held(restore, text)):
+                    for f in sorted(_held(restore, text, starts)):
                         left *= 1 - bounds[f]
                     found.append(1 - left)
                 yield pd.Series(found, dtype="float64")
@@ -310,7 +369,8 @@ def learn(
 
     Labels without an identifier or a label are left out; of several labels of an identifier the largest
     counts; equal labelled texts count once. More labelled rows than `max_labelled` are thinned to about
-    that number by a hash of the identifier. Without toxic rows every score is 0.
+    that number by a hash of the identifier. Without toxic rows every score is 0, and an empty table has none.
+    The features that come to the driver are words of at least two of those rows, most of them toxic ones.
     """
     spool = Spool(docs.sparkSession, "toxicity")
     model = character_model(docs, text)
@@ -333,9 +393,7 @@ def learn(
         rows.mapInPandas(_counted(model), "feature string, hits long, n long")
         .groupBy("feature")
         .agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
-        .where((F.col("hits") >= MIN_VOTES) & (F.col("hits") > 0.5 * F.col("n")))
-        .orderBy(F.desc(F.col("hits") * F.col("hits") / F.col("n")), "feature")
-        .limit(MAX_FEATURES)
+        .where((F.col("hits") >= MIN_VOTES) & (F.col("hits") > MIN_BOUND * F.col("n")))  # a bound lies below the share
         .collect()
     )
     bounds = {r["feature"]: _bound(r["hits"], r["n"]) for r in counted}
@@ -349,6 +407,7 @@ def learn(
         .collect()
     )
     kept = {r["feature"]: bounds[r["feature"]] for r in votes}
+    kept |= {f: bound for f, bound in bounds.items() if bound >= SURE and f[-1] != "*"}
     fitted = Toxicity(model, kept, 0.0)
     free = rows.withColumn("score", fitted.score(F.col("text"))).where("score = 0")
     hits, total = free.agg(F.sum(F.col("toxic").cast("long")), F.count("*")).first()
@@ -360,7 +419,10 @@ def learn(
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, text: str = "text", identifier: str = "doc_id", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """`docs` without the rows whose score reaches the threshold."""
+    """`docs` without the rows whose score reaches the threshold.
+
+    Null and empty texts score as texts without features, repeated rows alike; an empty table stays empty.
+    """
     fitted = learn(docs, labels, text, identifier)
     packed = docs.select(F.struct(*docs.columns).alias("doc"), fitted.score(F.col(text)).alias("score"))
     return packed.where(F.col("score") < threshold).select("doc.*")

@@ -72,3 +72,59 @@ def integrity_report(tables: Tables) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionAll, checks)
+
+
+def _told(frame: DataFrame, check: str, key: str) -> DataFrame:
+    """check, key, row: the rows of a frame as text, and the value of their key."""
+    said = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in frame.columns]
+    return frame.select(
+        F.lit(check).alias("check"), F.col(key).cast("string").alias("key"), F.concat_ws(", ", *said).alias("row")
+    )
+
+
+def _surplus(frame: DataFrame, check: str, key: str) -> DataFrame:
+    """All rows of a key with several rows but its first in column order, with their copies.
+
+    Keys are counted first, so only rows of such keys move. Equal rows are one row with a
+    number of copies, and the row that stays is a minimum: neither needs a sort of the key.
+    """
+    several = frame.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col(key).isNotNull() & (F.col("_n") > 1))
+    found = frame.join(several.select(key), key, "left_semi").select(*frame.columns)
+    rows = _told(found, check, key).groupBy("check", "key", "row").agg(F.count(F.lit(1)).alias("copies"))
+    kept = rows.groupBy("key").agg(F.min("row").alias("_kept"))
+    left = F.when(F.col("row") == F.col("_kept"), F.col("copies") - 1).otherwise(F.col("copies"))
+    return rows.join(kept, "key").select("check", "key", "row", left.alias("copies")).where("copies > 0")
+
+
+def violations(tables: Tables) -> DataFrame:
+    """check, key, row, copies: the rows that break a rule of ``integrity_report``.
+
+    The copies of a rule add up to the report's number. Of rows with one key the first in
+    text order stays and the others are surplus. A row that breaks several rules is there
+    for each of them. Sound tables give no rows.
+    """
+
+    def one_each(frame: DataFrame, check: str, key: str) -> DataFrame:
+        return _told(frame, check, key).groupBy("check", "key", "row").agg(F.count(F.lit(1)).alias("copies"))
+
+    found = []
+    for table, key, referring in LINKS:
+        own, others = getattr(tables, table), getattr(tables, referring)
+        keys = own.select(key)
+        found += [
+            one_each(own.where(F.col(key).isNull()), f"null {table}.{key}", key),
+            _surplus(own, f"duplicate {table}.{key}", key),
+            one_each(
+                others.where(F.col(key).isNotNull()).join(keys, key, "left_anti").select(*others.columns),
+                f"orphan {referring}.{key}", key,
+            ),
+        ]
+        if table == "orders":
+            bare = own.join(others.select(key), key, "left_anti").select(*own.columns)
+            found.append(one_each(bare, "orders without lines", key))
+            found.append(one_each(own.where(F.col("is_returned").isNull()), "orders without return flag", key))
+    lines, key = tables.line_keys, "order_detail_id"
+    if lines is not None:
+        found.append(one_each(lines.where(F.col(key).isNull()), f"null lines.{key}", key))
+        found.append(_surplus(lines, f"duplicate lines.{key}", key))
+    return reduce(DataFrame.unionAll, found)

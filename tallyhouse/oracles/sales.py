@@ -14,6 +14,15 @@ _ORDER_MONTHS = """, volume AS (
   FROM (SELECT m, count(*) AS n FROM kept_purchase GROUP BY m)
 )"""
 
+def _sums(table: str, source: str, **columns: str) -> str:
+    """What each column of a table holds, as rows, followed by a UNION ALL."""
+    return "".join(
+        f" SELECT '{table}.{name}' AS column_name, count({name if name != 'price' else 'price_cents'}) AS filled,"
+        f" CAST(coalesce(sum({number}), 0) AS BIGINT) AS total FROM {source} UNION ALL"
+        for name, number in columns.items()
+    )
+
+
 SQL = {
     "q01_01_total_revenue": q(f" SELECT {money('sum(cents)')} AS revenue FROM sale"),
     "q01_02_net_revenue": q(f" SELECT {money('sum(cents)')} AS revenue FROM kept"),
@@ -91,6 +100,10 @@ SQL = {
         _RECENT + f" SELECT year(m) AS year, month(m) AS month, {money('cents')} AS revenue"
         " FROM recent ORDER BY 1, 2"
     ),
+    "ingest_by_month": q(
+        _RECENT + f" SELECT year(m) AS year, month(m) AS month, {money('cents')} AS revenue"
+        " FROM recent ORDER BY 1, 2"
+    ),
     "q04_01b_last_year_growth": q(
         _RECENT + ", s AS (SELECT *, lag(cents) OVER (ORDER BY m) AS before FROM recent)"
         f" SELECT strftime(m, '%Y-%m') AS month, {money('cents')} AS revenue,"
@@ -150,6 +163,31 @@ SQL = {
         " row_number() OVER (ORDER BY cents DESC, order_id) AS position,"
         f" {big('ntile(10) OVER (ORDER BY cents DESC, order_id)')} AS decile FROM kept_basket"
     ),
+    "ingest_tables": q(
+        _sums("regions", "(SELECT CAST(r_regionkey AS BIGINT) AS region_id, r_name AS region_name FROM region)",
+              region_id="region_id", region_name="length(region_name)")
+        + _sums("customers", "buyer", customer_id="customer_id", customer_name="length(customer_name)", region_id="region_id")
+        + _sums("products", "item", product_id="product_id", product_name="length(product_name)",
+                category="length(category)", price="price_cents")
+        + _sums("orders", "purchase", order_id="order_id", customer_id="customer_id",
+                order_date="date_diff('day', DATE '1970-01-01', order_date)", is_returned="CAST(is_returned AS BIGINT)")
+        + _sums("lines", "line", order_id="order_id", product_id="product_id", quantity="quantity")[: -len(" UNION ALL")]
+    ),
+    "check_violations": q(
+        ", f AS (SELECT 'orphan lines.product_id' AS \"check\", product_id AS id,"
+        " concat_ws(', ', 'order_id=' || order_id, 'product_id=' || product_id, 'quantity=' || quantity) AS row"
+        " FROM line WHERE product_id NOT IN (SELECT product_id FROM item)"
+        " UNION ALL SELECT 'orphan lines.order_id', order_id,"
+        " concat_ws(', ', 'order_id=' || order_id, 'product_id=' || product_id, 'quantity=' || quantity)"
+        " FROM line WHERE order_id NOT IN (SELECT order_id FROM purchase)"
+        " UNION ALL SELECT 'orphan orders.customer_id', customer_id, concat_ws(', ', 'order_id=' || order_id,"
+        " 'customer_id=' || customer_id, 'order_date=' || order_date, 'is_returned=' || is_returned)"
+        " FROM purchase WHERE customer_id NOT IN (SELECT customer_id FROM buyer)"
+        " UNION ALL SELECT 'orders without lines', order_id, concat_ws(', ', 'order_id=' || order_id,"
+        " 'customer_id=' || customer_id, 'order_date=' || order_date, 'is_returned=' || is_returned)"
+        " FROM purchase WHERE order_id NOT IN (SELECT order_id FROM line))"
+        ' SELECT "check", CAST(id AS VARCHAR) AS key, row, count(*) AS copies FROM f GROUP BY ALL'
+    ),
     "check_integrity": q(
         """
         SELECT 'null regions.region_id' AS "check",

@@ -63,6 +63,20 @@ SQL = {
         f" SELECT region_name, product_id, product_name, {money('cents')} AS revenue,"
         " dense_rank() OVER (PARTITION BY region_name ORDER BY cents DESC) AS region_rank FROM r"
     ),
+    "top_products_by_region": q(
+        ", r AS (SELECT region_name, product_id, product_name, sum(cents) AS cents"
+        " FROM kept GROUP BY ALL)"
+        f" SELECT region_name, product_id, product_name, {money('cents')} AS revenue,"
+        " dense_rank() OVER (PARTITION BY region_name ORDER BY cents DESC) AS region_rank FROM r"
+        " QUALIFY region_rank <= 3"
+    ),
+    "top_products_by_category": q(
+        ", r AS (SELECT category, product_id, product_name, sum(cents) AS cents"
+        " FROM kept GROUP BY ALL)"
+        f" SELECT category, product_id, product_name, {money('cents')} AS revenue,"
+        " dense_rank() OVER (PARTITION BY category ORDER BY cents DESC) AS category_rank FROM r"
+        " QUALIFY category_rank <= 3"
+    ),
     "q03_03_return_rate_by_product": _return_rate("product_id, product_name"),
     "q03_04_return_rate_by_category": _return_rate("category"),
     "q06_01_return_rate_by_category": _return_rate("category"),

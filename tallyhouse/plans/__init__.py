@@ -5,7 +5,7 @@ that tie on the leading columns can still spread over the range partitions.
 """
 
 from tallyhouse.plans import (  # noqa: F401
-    baskets, customers, efficiency, products, regions, returns, sales, trends,
+    baskets, customers, efficiency, products, regions, returns, sales, stored, trends,
 )
 from tallyhouse.plans.registry import PLANS
 

@@ -10,7 +10,6 @@ from tallyhouse.functions.numbers import money, percent2, ratio2, total
 from tallyhouse.functions.periods import year_month_name
 from tallyhouse.operators import facts, segments
 from tallyhouse.operators.concentration import bucket_share, long_tail
-from tallyhouse.operators.integrity import integrity_report
 from tallyhouse.operators.ladder import tile_sums, with_tile
 from tallyhouse.operators.measures import rate_where, total_by
 from tallyhouse.operators.ranking import tile_few, top_k_with_ties
@@ -120,11 +119,6 @@ def order_frequency(t: Tables) -> DataFrame:
     )
 
 
-@plan("check_integrity")
-def check_integrity(t: Tables) -> DataFrame:
-    return integrity_report(t)
-
-
 @plan("window_order_deciles")
 def order_deciles(t: Tables) -> DataFrame:
     """Global row number and decile of every non-returned order by value, then id."""

@@ -55,9 +55,11 @@ def top_products_by_revenue(t: Tables, k: int = labels.TOP_K) -> DataFrame:
     )
 
 
-@plan("q03_02b_product_rank_by_region")
-def product_rank_by_region(t: Tables) -> DataFrame:
-    # by name, as in the other regional reports; inside a struct a null name equals another
+def regional_products(t: Tables) -> DataFrame:
+    """Region (a struct of its name), product, quantity and cents of non-returned orders.
+
+    By name, as in the other regional reports; inside a struct a null name equals another.
+    """
     located = facts.by_returns(t.orders, facts.NET).join(
         facts.customer_regions(t).select("customer_id", F.struct("region_name").alias("region")),
         "customer_id",
@@ -67,8 +69,42 @@ def product_rank_by_region(t: Tables) -> DataFrame:
         .groupBy("region", "product_id")
         .agg(F.sum(F.col("quantity").cast("long")).alias("quantity"))
     )
-    priced = facts.with_product(t, sold, "product_name")
-    ranked = with_dense_rank(priced, "cents", "region_rank", ("region",))
+    return facts.with_product(t, sold, "product_name")
+
+
+@plan("top_products_by_region")
+def top_products_by_region(t: Tables, k: int = 3) -> DataFrame:
+    """The products of the k highest revenues of each region, all ties included."""
+    best = top_k_with_ties(regional_products(t), "cents", "region_rank", k, ("region",))
+    return best.select(
+        "region.region_name",
+        "product_id",
+        "product_name",
+        money(F.col("cents")).alias("revenue"),
+        "region_rank",
+    ).orderBy("region_name", "region_rank", "product_id")
+
+
+@plan("top_products_by_category")
+def top_products_by_category(t: Tables, k: int = 3) -> DataFrame:
+    """The products of the k highest revenues of each category, all ties included."""
+    sold = facts.product_fact(t, facts.NET, "product_name", "category")
+    return (
+        top_k_with_ties(sold, "cents", "category_rank", k, ("category",))
+        .select(
+            "category",
+            "product_id",
+            "product_name",
+            money(F.col("cents")).alias("revenue"),
+            "category_rank",
+        )
+        .orderBy("category", "category_rank", "product_id")
+    )
+
+
+@plan("q03_02b_product_rank_by_region")
+def product_rank_by_region(t: Tables) -> DataFrame:
+    ranked = with_dense_rank(regional_products(t), "cents", "region_rank", ("region",))
     return (
         ranked.select(
             "region.region_name",

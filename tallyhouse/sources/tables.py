@@ -6,8 +6,11 @@ Spark starts no inference job and the scan reads nothing else.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Callable
-from functools import partial
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,25 +202,79 @@ def load_native(spark: SparkSession, folder: str, fmt: str = "parquet") -> Table
 
     ``fmt`` is parquet, orc, json or csv (with a header line). Text formats are
     read as text and cast, so that a malformed value raises an error under ANSI
-    mode and a flag may be written true/false or 1/0.
+    mode and a flag may be written true/false or 1/0. CSV files are grouped by their
+    header line and read by its names, so files may order their columns differently
+    and hold further ones; a file without a needed column is an error.
     """
 
-    def scan(name: str) -> DataFrame:
-        schema, path = NATIVE[name], f"{folder}/{name}"
+    def scan(name: str, *more: T.StructField) -> DataFrame:
+        schema, path = T.StructType([*NATIVE[name], *more]), f"{folder}/{name}"
         if fmt in ("parquet", "orc"):
             return spark.read.schema(schema).format(fmt).load(path)
-        reader = spark.read.format(fmt)
         if fmt == "csv":
-            # by name, so extra columns (email, phone, ...) may be in the file; a file whose
-            # header differs from the first one's is an error, not read by position
-            raw = reader.option("header", True).option("enforceSchema", False).load(path)
+            raw = _by_header(spark, path, schema, {f.name for f in more})
         else:
-            raw = reader.schema(
-                T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-            ).load(path)
+            raw = spark.read.schema(_as_text(schema.names)).format(fmt).load(path)
         return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
     def whole_lines() -> DataFrame:
-        return spark.read.format(fmt).option("header", True).load(f"{folder}/lines")
+        path, key = f"{folder}/lines", T.StructField("order_detail_id", T.LongType())
+        if fmt in ("parquet", "orc"):
+            # the files say what they hold
+            return spark.read.format(fmt).load(path)
+        if fmt == "csv":
+            held = any(key.name in header for header in headers(spark, path).values())
+        else:
+            first = spark.read.text(path).first()
+            held = first is not None and f'"{key.name}"' in first[0]
+        return scan("lines", key) if held else scan("lines")
 
     return native_tables(scan, whole_lines)
+
+
+def _as_text(names) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def _literal(file: str) -> str:
+    """A path that is read as it is, not as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
+
+
+def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """The column names in the first line of each CSV file; empty files are left out.
+
+    The files are listed without their content, and each is opened for one line.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = sorted(row[0] for row in listed.select("path").collect())
+
+    def first_line(file: str) -> str | None:
+        row = spark.read.text(_literal(file)).first()
+        return None if row is None else row[0].removeprefix("\ufeff")
+
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(first_line, files))
+    return {
+        file: tuple(name.strip() for name in next(csv.reader([line])))
+        for file, line in zip(files, lines)
+        if line
+    }
+
+
+def _by_header(
+    spark: SparkSession, path: str, schema: T.StructType, optional: set[str]
+) -> DataFrame:
+    """CSV files as text, those of one header in one scan; optional columns may be missing."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in headers(spark, path).items():
+        groups.setdefault(header, []).append(file)
+    if not groups:
+        return spark.createDataFrame([], _as_text(schema.names))
+    read = spark.read.option("header", True)
+    parts = []
+    for header, files in sorted(groups.items()):
+        raw = read.schema(_as_text(header)).csv([_literal(file) for file in files])
+        gone = [F.lit(None).cast("string").alias(c) for c in optional if c not in header]
+        parts.append(raw.select(*[c for c in schema.names if c not in optional or c in header], *gone))
+    return reduce(DataFrame.unionByName, parts)

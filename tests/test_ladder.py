@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import final_plan, rows
 from tallyhouse.operators.concentration import bucket_share, long_tail, pareto_head
 from tallyhouse.operators.ladder import (
     climb, prefix_totals, tile_sums, value_groups, with_dense_rank, with_order_key, with_tile,
@@ -183,6 +183,28 @@ def test_top_k_keeps_every_tie(spark):
     assert {r for i, _, r in best if i >= 9} == {10}
 
 
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_top_k_within_groups(spark, k):
+    draw = random.Random(k)
+    data = [("hot", i, draw.choice([7, 7, 7, draw.randrange(40), None])) for i in range(400)]
+    data += [(g, i, draw.choice([None, -5, -1, 0, 3])) for g in ("a", None, "") for i in range(15)]
+    data += [("alone", 1, None), ("one", 1, -9)]
+    frame = spark.createDataFrame(data, "g string, id long, v long").repartition(5)
+    best = sorted(rows(top_k_with_ties(frame, "v", "r", k, ("g",)).select("g", "id", "v", "r")), key=str)
+    wanted = []
+    for g in {g for g, _, _ in data}:
+        values = sorted({v for x, _, v in data if x == g}, key=lambda v: (v is None, -(v or 0)))
+        wanted += [(x, i, v, values.index(v) + 1) for x, i, v in data if x == g and values.index(v) < k]
+    assert best == sorted(wanted, key=str)
+
+
+def test_tasks_pass_on_k_values_of_a_group(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    frame = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise("b").alias("g"), F.col("id"), (F.col("id") % 9973).alias("v"))
+    text = final_plan(top_k_with_ties(frame, "v", "r", 3, ("g",)))
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
 def test_pareto_leaves_out_ties_on_the_line(spark):
     # 40 + 30 = 70 %; either 15 alone would stay at 85 %, over the line
     frame = spark.createDataFrame([(1, 40), (2, 30), (3, 15), (4, 15)], "id long, v long")

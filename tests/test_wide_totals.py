@@ -8,7 +8,7 @@ import pytest
 
 from conftest import rows
 from tallyhouse.plans import PLANS, baskets, efficiency, products, sales
-from tallyhouse.sources.tables import from_frames, load_native
+from tallyhouse.sources.tables import from_frames
 
 MONEY = sorted(
     name
@@ -117,18 +117,3 @@ def test_orders_without_items_are_not_small_orders(shop):
     for single in (1, 50):
         found = dict(rows(baskets.single_and_multi_item_revenue(t, single, "few", "many")))
         assert found == {"many": Decimal("0.00"), "few": Decimal("10.00")}
-
-
-def test_files_of_one_table_with_other_column_order_are_refused(spark, tmp_path):
-    for name, text in {
-        "regions": "region_id,region_name\n1,N\n",
-        "customers": "customer_id,customer_name,region_id\n1,A,1\n",
-        "products": "product_id,product_name,category,price\n1,P,C,1.00\n",
-        "orders": "order_id,customer_id,order_date,is_returned\n1,1,2024-01-01,0\n",
-        "lines": "order_id,product_id,quantity\n1,1,1\n",
-    }.items():
-        (tmp_path / name).mkdir()
-        (tmp_path / name / "a.csv").write_text(text)
-    (tmp_path / "lines" / "b.csv").write_text("product_id,order_id,quantity\n10,2,5\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        load_native(spark, str(tmp_path), "csv").lines.collect()

@@ -34,6 +34,8 @@ from tallyhouse.llm.store import Spool
 MAX_LABELLED = 60_000
 #: Votes and bound that a feature needs, and how many standard deviations the bound lies below the share.
 MIN_VOTES, MIN_BOUND, SIGMAS = 2, 0.6, 1.64
+#: The part of the clean labelled rows that is read first, and features whose beginnings are listed.
+FIRST_OF, FEW = 8, 5000
 #: Whole words with this bound need no votes.
 SURE = 0.9
 #: Scores from here on are toxic.
@@ -296,23 +298,47 @@ def _bound(hits: int, total: int) -> float:
     return (p + z / (2 * total) - math.sqrt(z * (p * (1 - p) / total + z / (4 * total**2)))) / (1 + z / total)
 
 
-def _counted(model: np.ndarray):
+def _counted(model: np.ndarray, among: dict[str, int] | None = None):
+    """How many texts hold each feature; with `among` only of those."""
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restore = Restorer(model, features)
+        restore = Restorer(model, features if among is None else features_among(among))
+        starts = starts_of(among) if among is not None and len(among) <= FEW else None
         for batch in batches:
             for start in range(0, len(batch), 1000):
-                sums: dict[bool, Counter] = {True: Counter(), False: Counter()}
-                part = batch.iloc[start : start + 1000]
-                for text, toxic in zip(part["text"], part["toxic"], strict=True):
-                    sums[bool(toxic)].update(_held(restore, text))
-                for toxic, found in sums.items():
-                    if found:
-                        n = list(found.values())
-                        yield pd.DataFrame({"feature": list(found), "hits": [x * toxic for x in n], "n": n})
+                sums: Counter = Counter()
+                for text in batch["text"].iloc[start : start + 1000]:
+                    sums.update(_held(restore, text, starts))
+                if sums:
+                    yield pd.DataFrame({"feature": list(sums), "n": list(sums.values())})
 
     return count
 
 
+def _reliable(rows: DataFrame, model: np.ndarray) -> dict[str, float]:
+    """The bound of every feature that toxic rows of `rows(text, toxic)` make likely enough.
+
+    Features of toxic texts are counted first, then what part of the clean texts holds of them: most are
+    common words, whose share is too low already, so the other clean texts are read for few features.
+    """
+
+    def counted(part: DataFrame, among: dict[str, int] | None, least: int) -> dict[str, int]:
+        sums = part.select("text").mapInPandas(_counted(model, among), "feature string, n long").groupBy("feature")
+        found = sums.agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+        return dict(zip(found["feature"].to_pylist(), found["n"].to_pylist(), strict=True))
+
+    hits = counted(rows.where("toxic"), None, MIN_VOTES)
+    clean = dict.fromkeys(hits, 0)
+    part = F.pmod(F.xxhash64("text"), F.lit(FIRST_OF))
+    for chosen in (part == 0, part != 0):
+        # a bound lies below the share
+        hits = {f: n for f, n in hits.items() if n > MIN_BOUND * (n + clean[f])}
+        for f, n in counted(rows.where(~F.col("toxic") & chosen), hits, 1).items():
+            clean[f] += n
+    bounds = {f: _bound(n, n + clean[f]) for f, n in hits.items()}
+    return {f: bound for f, bound in bounds.items() if bound >= MIN_BOUND}
+
+
 def _voted(model: np.ndarray, bounds: dict[str, float]):
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restore, starts, votes = Restorer(model, features_among(bounds)), starts_of(bounds), Counter()
@@ -370,7 +396,7 @@ def learn(
     Labels without an identifier or a label are left out; of several labels of an identifier the largest
     counts; equal labelled texts count once. More labelled rows than `max_labelled` are thinned to about
     that number by a hash of the identifier. Without toxic rows every score is 0, and an empty table has none.
-    The features that come to the driver are words of at least two of those rows, most of them toxic ones.
+    The features that come to the driver are words of at least two of its toxic rows.
     """
     spool = Spool(docs.sparkSession, "toxicity")
     model = character_model(docs, text)
@@ -389,15 +415,7 @@ def learn(
         .agg(F.max("toxic").alias("toxic"))
         .select("text", (F.col("toxic") > 0).alias("toxic"))
     )
-    counted = (
-        rows.mapInPandas(_counted(model), "feature string, hits long, n long")
-        .groupBy("feature")
-        .agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
-        .where((F.col("hits") >= MIN_VOTES) & (F.col("hits") > MIN_BOUND * F.col("n")))  # a bound lies below the share
-        .collect()
-    )
-    bounds = {r["feature"]: _bound(r["hits"], r["n"]) for r in counted}
-    bounds = {f: bound for f, bound in bounds.items() if bound >= MIN_BOUND}
+    bounds = _reliable(rows, model)
     toxic = rows.where("toxic")
     votes = (
         toxic.mapInPandas(_voted(model, bounds), "feature string, votes long")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,7 +22,7 @@ from tallyhouse.llm.store import Spool
 
 # What tags are, by name.
 #: The text of raw elements runs to their end tag or, as HTML has it, to the page's end.
-_RAW = "script|style|textarea|iframe|title"
+_RAW = frozenset("script style textarea iframe title".split())
 #: Left out with what they hold, but only up to an end tag of their own.
 _SKIPPED = frozenset("noscript template svg".split())
 _CONTAINERS = frozenset(
@@ -38,7 +39,7 @@ _FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar side header masthead footer foot cookie cookies consent "
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login social share "
-    "sharing related recommended recommendations pagination pager comment comments reply replies disqus "
+    "sharing related recommended recommendations pagination pager comment comments reply replies responses disqus "
     "widget toolbar copyright disclaimer gdpr skip".split()
 )
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
@@ -47,26 +48,30 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE_TAGS = frozenset("article main".split())
 _ARTICLE_WORDS = frozenset("article main content post entry story text".split())
 
-_ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
-
-
-def _tokens_of(raw_end: str) -> re.Pattern:
-    return re.compile(
-        rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{_RAW})\b{_ATTRS}{raw_end}.*?(?:</(?P=raw)\s*>|\Z)"
-        rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>{_ATTRS})>|<[!?/][^>]*(?:>|\Z)",
-        re.I | re.S,
-    )
-
-
-#: Inside svg a slash closes raw elements too.
-_TOKEN, _SVG_TOKEN = _tokens_of(">"), _tokens_of("(?<!/)>")
-_ATTR = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.I)
+_NAME = re.compile(r"[a-z][a-z0-9:-]*", re.I)
+_STOP = re.compile("[>=]")
+_WHITE = re.compile(r"\s*")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I) for tag in _RAW}
+#: What may stand beside a word of furniture in one class name: "share-buttons" is furniture, "image-share" is not.
+_NEUTRAL_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons center col column container content fixed global group holder "
+    "icon icons inner item items left link links list main nav news outer page panel pane posts primary region right "
+    "row secondary section site sticky text title top unit wrap wrapper module slot zone form fields list"
+    .split()
+)
+#: Nothing is tried twice, so a tag of any length is read in one pass.
+_ATTR = re.compile(r"(?<![a-z-])([a-z-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))|\b(hidden)\b", re.I)
+#: Containers that are nested deeper count as the one at this depth, as in browsers.
+DEEPEST = 512
+#: Inline elements that may hide their text, and the attributes that may say so.
+_INLINE = frozenset("span a b i em strong small u s sub sup abbr label code mark font big cite q".split())
+_MAY_HIDE = re.compile(r"hidden|display|role", re.I)
 #: A container is a candidate from this share of the good text on; a level deeper is worth so much.
 SHARE, LEVEL = 0.5, 0.05
 
 
 class _Container:
-    __slots__ = ("article", "depth", "doubt", "furniture", "good", "headings", "heads", "named", "own", "parent", "path", "said", "tag")
+    __slots__ = ("article", "depth", "doubt", "furniture", "good", "headings", "heads", "named", "own", "parent", "path", "said", "seen", "tag")
 
     def __init__(
         self, tag: str, path: str, parent: _Container | None, furniture: bool, doubtful: bool = False, named: bool = False
@@ -80,6 +85,7 @@ class _Container:
         self.said = self.headings = self.heads = self.own = 0
         self.depth = parent.depth + 1 if parent else 0
         self.good = 0
+        self.seen = False
 
 
 def _attributes(said: str) -> dict[str, str]:
@@ -96,59 +102,121 @@ def _furniture(tag: str, attrs: dict[str, str]) -> bool:
     return bool(re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I)) or attrs.get("aria-hidden") == "true"
 
 
-def _names(attrs: dict[str, str]) -> list[str]:
-    names = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}")
-    return re.findall("[a-z]+", names.lower())
+def _class_names(attrs: dict[str, str]) -> list[list[str]]:
+    """The words of each class and of the id."""
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    return [re.findall("[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) for name in names]
+
+
+def _furniture_name(words: list[str]) -> bool:
+    """Whether a class name says furniture: by one of its words, where the others say no other thing."""
+    said = [w for w in words if len(w) > 1 or w not in "abcdefghijklmnopqrstuvwxyz"]
+    named = [w in _FURNITURE_WORDS for w in said]
+    return any(named) and all(n or w in _NEUTRAL_WORDS for n, w in zip(named, said, strict=True))
 
 
-def _doubtful(tag: str, attrs: dict[str, str], names: list[str]) -> bool:
+def _doubtful(tag: str, attrs: dict[str, str], names: list[list[str]]) -> bool:
     """Whether an element looks like furniture, unless it holds the page."""
     if tag == "form" or attrs.get("role", "").lower() == "form":
         return True
-    return tag not in _FRAMES and not _FURNITURE_WORDS.isdisjoint(names)
+    return tag not in _FRAMES and any(map(_furniture_name, names))
 
 
-def _tokens(page: str) -> list[re.Match | _Cut]:
+class _Tag:
+    """A tag, or with an empty name a comment, a raw element or a skipped one."""
+
+    __slots__ = ("attrs", "closing", "end", "name", "start")
+
+    def __init__(self, start: int, end: int, name: str = "", closing: bool = False, attrs: str = ""):
+        self.start, self.end, self.name, self.closing, self.attrs = start, end, name, closing, attrs
+
+    @property
+    def empty(self) -> bool:
+        return self.attrs.endswith("/")
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag ends whose attributes begin at `at`, or -1.
+
+    As in HTML, a quote opens a value only behind an equals sign; one that is never closed opens none.
+    """
+    while stop := _STOP.search(page, at):
+        at = stop.end()
+        if stop[0] == ">":
+            return at
+        at = _WHITE.match(page, at).end()
+        quote = page[at : at + 1]
+        if quote in ("'", '"'):
+            closed = page.find(quote, at + 1)
+            at = closed + 1 if closed >= 0 else at + 1
+    return -1
+
+
+def _next(page: str, at: int, svg: bool) -> _Tag | None:
+    """The first tag, comment or raw element from `at` on.
+
+    Each character is passed once: what is never closed runs to the page's end.
+    """
+    size = len(page)
+    while (start := page.find("<", at)) >= 0:
+        after = page[start + 1 : start + 2]
+        closing = after == "/"
+        name = _NAME.match(page, start + 1 + closing)
+        if name:
+            end = _tag_end(page, name.end())
+            if end < 0:
+                return _Tag(start, size)
+            tag, attrs = name[0].lower(), page[name.end() : end - 1]
+            # inside svg a slash closes raw elements too
+            if tag in _RAW and not closing and not (svg and attrs.endswith("/")):
+                over = _RAW_END[tag].search(page, end)
+                return _Tag(start, over.end() if over else size)
+            return _Tag(start, end, tag, closing, attrs)
+        if page.startswith("<!--", start):
+            first = ">" if page[start + 4 : start + 5] == ">" else "->" if page.startswith("->", start + 4) else "-->"
+        elif page.startswith("<![CDATA[", start):
+            first = "]]>"
+        elif after and after in "!?/":
+            first = ">"
+        else:
+            at = start + 1
+            continue
+        over = page.find(first, start + (4 if page.startswith("<!--", start) else 2))
+        return _Tag(start, over + len(first) if over >= 0 else size)
+    return None
+
+
+def _tokens(page: str) -> list[_Tag]:
     """The tags, comments and raw elements of a page, without those inside skipped elements."""
-    found: list[re.Match | _Cut] = []
+    found: list[_Tag] = []
     opened: dict[str, list[int]] = {tag: [] for tag in _SKIPPED}
     cuts: list[tuple[int, int]] = []
-    foreign, match = 0, _TOKEN.search(page)
-    while match:
-        tag = (match["tag"] or "").lower()
+    foreign, token = 0, _next(page, 0, False)
+    while token:
+        tag = token.name
         if tag in _SKIPPED:
-            if match["end"]:
+            if token.closing:
                 if opened[tag]:
                     cuts.append((opened[tag].pop(), len(found)))
-            elif not match["attrs"].endswith("/"):
+            elif not token.empty:
                 opened[tag].append(len(found))
         elif tag == "foreignobject" and opened["svg"]:
-            foreign = max(0, foreign + (-1 if match["end"] else not match["attrs"].endswith("/")))
+            foreign = max(0, foreign + (-1 if token.closing else not token.empty))
         elif tag in _BLOCKS and opened["svg"] and not foreign:
             opened["svg"] = []  # as in HTML, a block ends an svg that was left open
         foreign = foreign if opened["svg"] else 0
-        found.append(match)
-        match = (_SVG_TOKEN if opened["svg"] else _TOKEN).search(page, match.end())
+        found.append(token)
+        token = _next(page, token.end, bool(opened["svg"]))
     if not cuts:
         return found
     kept, at = [], 0
     for first, last in sorted(cuts):
         if first >= at:
-            kept += found[at:first] + [_Cut(found[first].start(), found[last].end())]
+            kept += [*found[at:first], _Tag(found[first].start, found[last].end)]
             at = last + 1
     return kept + found[at:]
 
 
-class _Cut:
-    """Stands for a skipped element among the matches."""
-
-    def __init__(self, start: int, end: int):
-        self.start, self.end = lambda: start, lambda: end
-
-    def __getitem__(self, name: str) -> None:
-        return None
-
-
 _Block = tuple[_Container, str, int, str]
 
 
@@ -160,6 +228,11 @@ def blocks(page: str) -> list[_Block]:
     linked, in_link, block = 0, False, ""
     # blocks that are furniture by themselves, such as a paragraph of class "notice"
     hidden = ""
+    # an inline element that is not shown, and how many of its name are open in it
+    unseen, inner = "", 0
+    # open containers by tag, and how many are too deep to count
+    open_tags: Counter = Counter()
+    deep = 0
 
     def close() -> None:
         nonlocal parts, linked
@@ -170,48 +243,64 @@ def blocks(page: str) -> list[_Block]:
 
     def text(said: str) -> None:
         nonlocal linked
+        if unseen:
+            return
         said = html.unescape(said)
         parts.append(said)
         linked += len(said) if in_link else 0
 
     at = 0
-    for match in _tokens(page):
-        if match.start() > at:
-            text(page[at : match.start()])
-        at = match.end()
-        tag = (match["tag"] or "").lower()
+    for token in _tokens(page):
+        if token.start > at:
+            text(page[at : token.start])
+        at = token.end
+        tag = token.name
         if not tag:
             continue
         if tag == "a":
-            in_link = not match["end"]
+            in_link = not token.closing
         elif tag == "br":
             parts.append(" ")
         if tag not in _BLOCKS:
+            if unseen == tag:
+                inner += -1 if token.closing else not token.empty
+                unseen = tag if inner else ""
+            elif not unseen and not token.closing and tag in _INLINE and _MAY_HIDE.search(token.attrs):
+                if not token.empty and _furniture(tag, _attributes(token.attrs)):
+                    unseen, inner = tag, 1
             continue
         close()
-        block = "" if match["end"] or tag in _CONTAINERS else tag
+        unseen = ""  # a block ends what was left open
+        block = "" if token.closing or tag in _CONTAINERS else tag
         if tag in _CONTAINERS:
             hidden = ""
-            if not match["end"]:
-                if match["attrs"].endswith("/"):
+            if not token.closing:
+                if token.empty:
+                    continue
+                if here.depth >= DEEPEST:
+                    deep += 1
                     continue
-                attrs = _attributes(match["attrs"])
+                attrs = _attributes(token.attrs)
                 classes = sorted(set(re.sub(r"\d+", "", attrs.get("class", "")).lower().split()))
                 path = f"{here.path}>{'.'.join([tag, *classes])}"
-                names = _names(attrs)
-                named = tag in _ARTICLE_TAGS or not _ARTICLE_WORDS.isdisjoint(names)
+                names = _class_names(attrs)
+                named = tag in _ARTICLE_TAGS or any(not _ARTICLE_WORDS.isdisjoint(words) for words in names)
                 furniture = here.furniture or _furniture(tag, attrs)
                 here = _Container(tag, path, here, furniture, _doubtful(tag, attrs, names), named)
-            else:
-                opened = here
-                while opened.parent and opened.tag != tag:
-                    opened = opened.parent
-                here = opened.parent or here
-        elif match["end"]:
+                open_tags[tag] += 1
+            elif deep:
+                deep -= 1
+            elif open_tags[tag]:
+                while here.tag != tag:
+                    open_tags[here.tag] -= 1
+                    here = here.parent
+                open_tags[tag] -= 1
+                here = here.parent
+        elif token.closing:
             hidden = "" if tag == hidden else hidden
         else:
-            attrs = _attributes(match["attrs"])
-            hidden = tag if _furniture(tag, attrs) or _doubtful(tag, attrs, _names(attrs)) else ""
+            attrs = _attributes(token.attrs)
+            hidden = tag if _furniture(tag, attrs) or _doubtful(tag, attrs, _class_names(attrs)) else ""
     if at < len(page):
         text(page[at:])
     close()
@@ -271,27 +360,37 @@ def _good(found: list[_Block]) -> list[_Block]:
 def _scored(page: str) -> tuple[list[_Block], dict[_Container, float]]:
     """The good blocks of a page, and the score of each container that holds enough of them."""
     good = _good(blocks(page))
-    total = 0
     for container, said, linked, tag in good:
         worth = max(0, len(said) - 2 * linked)
-        total += worth
-        container.own += worth > 0
-        for up in _above(container):
-            up.good += worth
-            if worth:
-                up.said += len(said)
-                up.headings += tag in _HEADINGS
-                up.heads += tag == "h1"
-    scores: dict[_Container, float] = {}
-    for container, *_ in good:
-        up = container
-        while up and up not in scores:
-            if total and up.good >= SHARE * total:
-                scores[up] = up.good / total + LEVEL * min(up.depth, 10)
-            up = up.parent
+        container.good += worth
+        if worth:
+            container.own += 1
+            container.said += len(said)
+            container.headings += tag in _HEADINGS
+            container.heads += tag == "h1"
+    # from the deepest outwards, so that each container is added to the one around it once
+    every = list(dict.fromkeys(up for container in dict.fromkeys(c for c, *_ in good) for up in _unseen(container)))
+    for container in sorted(every, key=lambda c: -c.depth):
+        around = container.parent
+        if around:
+            around.good += container.good
+            around.said += container.said
+            around.headings += container.headings
+            around.heads += container.heads
+    total = max((c.good for c in every if not c.parent), default=0)
+    scores = {c: c.good / total + LEVEL * min(c.depth, 10) for c in every if total and c.good >= SHARE * total}
     return good, scores
 
 
+def _unseen(container: _Container) -> Iterator[_Container]:
+    """A container and all around it up to the first that was given before."""
+    up: _Container | None = container
+    while up and not up.seen:
+        up.seen = True
+        yield up
+        up = up.parent
+
+
 def _whole(container: _Container) -> _Container:
     """The outermost container that this one may be extended to, level by level, while good text comes in.
 
@@ -329,11 +428,13 @@ def best_path(page: str | None) -> tuple[str, float] | None:
 def extract(page: str | None, path: str | None) -> str:
     """The good blocks in containers at `path`, extended to the whole article; without any, in the page's best."""
     good, scores = _scored(page or "")
-    roots = {up for c, *_ in good for up in _above(c) if path is not None and up.path == path}
+    held = list(dict.fromkeys(c for c, *_ in good))
+    roots = {up for c in held for up in _above(c) if path is not None and up.path == path}
     if not roots and (best := _best(scores)):
         roots = {best[0]}
     roots = {_whole(c) for c in roots}
-    return "\n".join(said for c, said, *_ in good if not roots or not roots.isdisjoint(_above(c)))
+    inside = {c for c in held if not roots or not roots.isdisjoint(_above(c))}
+    return "\n".join(said for c, said, *_ in good if c in inside)
 
 
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -370,8 +471,9 @@ def main_text(pages: DataFrame, source: str = "html", url: str = "url") -> DataF
     """`doc` (the columns of `pages` as a struct) with `path` and `text`.
 
     Blocks are joined by a line feed, white space inside a block is one space, character references are
-    decoded. A null page counts as empty and has an empty text; pages without a host share one vote. The
-    winners are written, so pages of a very frequent host can be split over tasks in the join.
+    decoded. A null page counts as empty and has an empty text; pages without a host share one vote. Repeated
+    rows vote and are extracted alike; an empty table gives no rows. The winners are written, so pages of a
+    very frequent host can be split over tasks in the join.
     """
     spool = Spool(pages.sparkSession, "pages")
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))

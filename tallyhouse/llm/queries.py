@@ -94,11 +94,12 @@ def op5_preferences(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document by byte-level BPE, through a cache that starts empty."""
-    import public_tokenizers
+    import public_tokenizers as files
 
     docs = table(spark, folder, "documents")
-    file, cache = public_tokenizers.path("byte_bpe_50k.json"), new_folder(spark, "token-cache")
-    return tokens.count_tokens(docs, file, cache, keep=["doc_id"]).select(
+    file, cache = files.path("byte_bpe_50k.json"), new_folder(spark, "token-cache")
+    ranks = tokens.Ranks(files.path("byte_bpe_50k.tiktoken"), file, files.PATTERN)
+    return tokens.count_tokens(docs, file, cache, keep=["doc_id"], ranks=ranks).select(
         F.col("doc.doc_id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit")
     )
 

@@ -119,9 +119,12 @@ def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    """Words of every document that lie inside an occurrence of a benchmark window of 10 words."""
+    """Words of every document that lie inside an occurrence of a benchmark window of 10 words.
+
+    `n_near` counts items of which a window's words lie in any order within 2 words more.
+    """
     found = decontaminate.contaminated_documents(
-        table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10, slop=2
     )
     named = F.concat_ws(",", F.array_sort("items"))
     return found.select(
@@ -131,6 +134,7 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(named, 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near"),
     )
 
 
@@ -288,10 +292,33 @@ WITH d AS (
 ), named AS (
     SELECT r, count(*) AS n_items, string_agg(coalesce(item_id::VARCHAR, 'null'), ',' ORDER BY coalesce(item_id::VARCHAR, 'null')) AS ids
     FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r
+), v AS (
+    SELECT DISTINCT unnest(words) AS word FROM i
+), f AS (
+    SELECT r, list(CASE WHEN v.word IS NULL THEN 0 ELSE 1 END ORDER BY q) AS flags
+    FROM (SELECT r, words[q] AS word, q FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS q FROM d)) x LEFT JOIN v USING (word)
+    GROUP BY r
+), e AS (
+    SELECT r, n, p, words[p : p + n + 1] AS said
+    FROM (SELECT d.*, l.n, unnest(range(1, greatest(len(words) - l.n, -1) + 2)) AS p FROM d, (SELECT DISTINCT n FROM w) l) JOIN f USING (r)
+    WHERE list_sum(flags[p : p + n + 1]) >= n
+), z AS (
+    SELECT *, unnest(range(CASE WHEN len(said) > n THEN 1 ELSE 0 END, CASE WHEN len(said) > n THEN len(said) + 1 ELSE 1 END)) AS a FROM e
+), y AS (
+    SELECT *, unnest(range(CASE WHEN len(said) > n + 1 THEN a + 1 ELSE 0 END, CASE WHEN len(said) > n + 1 THEN len(said) + 1 ELSE 1 END)) AS b FROM z
+), k AS (
+    SELECT DISTINCT r, n, p, len(said) AS wide, array_to_string(list_sort([x FOR x, j IN said IF j <> a AND j <> b]), ' ') AS bag FROM y
+), g AS (
+    SELECT *, array_to_string(list_sort(string_split(said, ' ')), ' ') AS bag FROM w
+), c AS (
+    SELECT DISTINCT k.r, g.item_id FROM k JOIN g USING (n, bag)
+    WHERE NOT EXISTS (FROM h WHERE h.r = k.r AND h.n = k.n AND h.said = g.said AND h.p BETWEEN k.p AND k.p + k.wide - k.n)
+), near AS (
+    SELECT r, count(*) AS n_near FROM c GROUP BY r
 )
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN near USING (r)
 """,
     "op9_naming": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

@@ -34,6 +34,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this library wrote and nothing reads any more."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 class Spool:
     """Writes intermediate tables as Parquet, which cuts lineage and survives lost executors.
 
@@ -56,10 +62,8 @@ class Spool:
         return back
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
         for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(self.spark, self.paths.pop(id(table)))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -41,13 +41,18 @@ _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 #: Parts of a candidate between equals signs; signs at its end are padding.
 _PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+\Z)?")
 _SENSITIVE = re.compile(
-    r"(?ai)passw|passwd|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|signature"
+    r"(?ai)passw|passwd|pwd|secret|token|api.?key|access.?key|private.?key|credential|bearer|signature"
+    # not in "author" or "authentic"
+    r"|(?<![a-z])o?auth(?![a-z])|authori[sz]ation"
 )
 #: A key block; its lines are candidates of any length.
 _KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(.*?)(?:-----END|\Z)", re.S)
 _KEY_LINE = re.compile(r"(?m)^[ \t]*([A-Za-z0-9+/]+=*)[ \t\r]*$")
 #: What may stand between a sensitive word and the candidate that it names.
 _LEADS = re.compile(r"[^A-Za-z0-9\n]{0,8}(?=[A-Za-z0-9+/_=-]{16})")
+#: Content of a data address, and identifiers, which are reported only where a sensitive word names them.
+_EMBEDDED = re.compile(r"(?i);base64,\Z")
+_IDENTITY = re.compile(r"(?ai)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 #: Characters before a candidate that count as its surroundings, also for braces on both sides, and those that
 #: may hold a sensitive word of an earlier line.
 CONTEXT, NEAR = 512, 48
@@ -86,8 +91,12 @@ def near_candidates(text: str) -> list[tuple[int, int]]:
     line_from, line_to, carried = 0, -1, -1
     for run in runs:
         for start, end in _parts(text, *run.span()):
-            if (start, end) in in_block or not any(c.isalpha() for c in text[start:end]):
+            if (start, end) in in_block or _EMBEDDED.search(text, max(0, start - 8), start):
                 continue
+            if _IDENTITY.fullmatch(text, start, end):
+                last = bisect_right(ends, start) - 1
+                if last < 0 or start - ends[last] > 8 or any(c.isalnum() for c in text[ends[last] : start]):
+                    continue
             if start > line_to:
                 line_from, line_to = text.rfind("\n", 0, start) + 1, text.find("\n", start)
                 line_to = len(text) if line_to < 0 else line_to
@@ -197,7 +206,8 @@ def scan(docs: DataFrame, text: str = "text", dictionary: bytes | None = None) -
     """`docs` packed as `doc` with `spans`: array of (kind, start, end) in code points, end exclusive.
 
     Spans are in order of start and then of kind. The identifier dictionary is made from all texts of
-    `docs` unless one is given. Null and empty texts have no spans; repeated rows are scanned alike.
+    `docs` unless one is given. Null and empty texts have no spans; repeated rows are scanned alike; an empty
+    table gives no rows.
     """
     primed = identifier_dictionary(docs, text) if dictionary is None else dictionary
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +68,7 @@ class Vocabulary:
         with open(file, "rb") as source:
             self.content = source.read()
         self.tokens = getattr(self, "_" + file.rsplit(".", 1)[-1])()[1]
+        self.lossless = file.endswith(".tiktoken") and {bytes([x]) for x in range(256)} <= set(self.tokens)
 
     def _tiktoken(self):
         import tiktoken
@@ -111,6 +113,10 @@ class Vocabulary:
         encode = getattr(self, "_" + self.file.rsplit(".", 1)[-1])()[0]
         return lambda texts: encode([self.before + x for x in texts])
 
+    def restores(self, ids: list[int], said: bytes) -> bool:
+        """Whether the tokens join to the given bytes. Plain ranks hold every byte, so they always do."""
+        return self.lossless or b"".join(map(self.tokens.__getitem__, ids)) == said
+
     @property
     def lengths(self) -> np.ndarray:
         return np.array([len(x) for x in self.tokens], np.int64)
@@ -118,7 +124,11 @@ class Vocabulary:
     @property
     def kind(self) -> np.dtype:
         """The narrowest unsigned type that holds every id."""
-        return np.dtype("<u2" if len(self.tokens) <= 1 << 16 else "<u4")
+        return np.dtype(np.uint16 if len(self.tokens) <= 1 << 16 else np.uint32)
+
+    @property
+    def code(self) -> str:
+        return "H" if self.kind.itemsize == 2 else "I"
 
 
 def cuts(a: np.ndarray, b: np.ndarray, steps: int) -> list[tuple[int, int]]:
@@ -157,9 +167,10 @@ def _cut(first: Vocabulary, second: Vocabulary, steps: int):
                 part = [x or "" for x in texts[start : start + 64]]
                 for at, text, a, b in zip(range(start, start + 64), part, one(part), two(part), strict=False):
                     said = b" " + text.encode()
-                    if not text or said != b"".join([first.tokens[x] for x in a]) or said != b"".join([second.tokens[x] for x in b]):
+                    if not text or not (first.restores(a, said) and second.restores(b, said)):
                         a, b = [], []
-                    a, b = np.array(a, first.kind), np.array(b, second.kind)
+                    # an array of C numbers takes a list in faster than numpy does
+                    a, b = np.frombuffer(array(first.code, a), first.kind), np.frombuffer(array(second.code, b), second.kind)
                     if len(a) + len(b) <= steps:
                         rows.append((at, numbers[at], 0, 1, len(a), len(b), 0, 0, a.tobytes(), b.tobytes()))
                         held += a.nbytes + b.nbytes + 64
@@ -209,8 +220,8 @@ def pieces(
 def merged(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, a_base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The links of one piece and its ends of groups, from the ends of its slices.
 
-    Returns the indices of the A token and the B token of each link, and the B ends that close a group. An end
-    of B that A has too is no link of its own: A comes first there and has emitted it.
+    Returns the indices of the A token and the B token of each link, those of A's own ends first, and which of B's
+    own ends close a group. An end of B that A has too is no link of its own: A comes first and has emitted it.
     """
     own_a, own_b = a[:n_a], b[:n_b]
     under_a = np.searchsorted(b, own_a)
@@ -222,7 +233,7 @@ def merged(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, a_base: int) -> tup
     return (
         np.concatenate([np.arange(n_a), under_b[free]]),
         np.concatenate([under_a, np.flatnonzero(free)]),
-        own_b[both],
+        both,
     )
 
 
@@ -237,8 +248,9 @@ class _Printer:
         out = np.empty(len(a) + len(b), np.int64)
         last_a = np.append(group_a[1:] != group_a[:-1], True)[: len(a)]
         last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(b)]
-        out[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + self.size * last_a
-        out[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = b + 2 * self.size * last_b
+        groups = np.arange(1 + max(group_a[-1:].max(initial=-1), group_b[-1:].max(initial=-1)) + 1)
+        out[np.arange(len(a)) + np.searchsorted(group_b, groups)[group_a]] = a + self.size * last_a
+        out[np.arange(len(b)) + np.searchsorted(group_a, groups, "right")[group_b]] = b + 2 * self.size * last_b
         return self.table[out].tobytes().translate(None, b"\0")[:-1]
 
 
@@ -247,14 +259,14 @@ def _listed(ids: np.ndarray) -> str:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], first: np.ndarray, second: np.ndarray, kinds: tuple):
-    """For each piece its row as a dict, its ids and ends, and its links and closing ends."""
+    """For each piece its row as a dict, its ids, and its links and closing ends."""
     for batch in batches:
         columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
         for k in range(batch.num_rows):
             row = {name: column[k] for name, column in columns.items()}
             a, b = np.frombuffer(row["a"], kinds[0]).astype(np.int64), np.frombuffer(row["b"], kinds[1]).astype(np.int64)
             end_a, end_b = row["a_base"] + np.cumsum(first[a]), row["b_base"] + np.cumsum(second[b])
-            yield row, a, b, end_a, end_b, merged(end_a, end_b, row["n_a"], row["n_b"], row["a_base"])
+            yield row, a, b, merged(end_a, end_b, row["n_a"], row["n_b"], row["a_base"])
 
 
 def _counted(first: np.ndarray, second: np.ndarray, kinds: tuple):
@@ -274,7 +286,7 @@ def _counted(first: np.ndarray, second: np.ndarray, kinds: tuple):
         def out():
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(times)], ["code", "n"])
 
-        for _, a, b, _, _, (i, j, _) in _slices(batches, first, second, kinds):
+        for _, a, b, (i, j, _) in _slices(batches, first, second, kinds):
             waiting.append(a[i] * width + b[j])
             held += len(i)
             if held >= AT_ONCE:
@@ -296,28 +308,29 @@ def _summed(first: np.ndarray, second: np.ndarray, kinds: tuple, heavy: tuple):
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         write, rows, held = _Printer(max(len(first), len(second))), [], 0
-        for row, a, b, end_a, end_b, (i, j, closing) in _slices(batches, first, second, kinds):
-            codes = a[i] * width + b[j]
+        for row, a, b, (i, j, closing) in _slices(batches, first, second, kinds):
+            # only sums are wanted, and sorted codes are looked up faster
+            codes = np.sort(a[i] * width + b[j])
             at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
             found = known[at] == codes if len(known) else np.zeros(len(codes), bool)
             rare, times = np.unique(codes[~found], return_counts=True)
             at = at[found]
             own_a, own_b = a[: row["n_a"]], b[: row["n_b"]]
-            group_a = np.searchsorted(closing, end_a[: row["n_a"]])
-            group_b = np.searchsorted(closing, end_b[: row["n_b"]])
+            # how many ends before a token close a group
+            closed = np.concatenate([[0], np.cumsum(closing)])
+            group_a, group_b, n = closed[j[: row["n_a"]]], closed[:-1], int(closed[-1])
             sha, fragments = None, (None,) * 5
             if row["pieces"] == 1:
                 said = write(own_a, group_a, own_b, group_b) if len(own_a) else b""
                 sha = hashlib.sha256(said).hexdigest() if said else ""
             else:
-                n = len(closing)
                 part = lambda k: (_listed(own_a[group_a == k]), _listed(own_b[group_b == k]))
                 inner_a, inner_b = (group_a > 0) & (group_a < n), (group_b > 0) & (group_b < n)
                 inner = write(own_a[inner_a], group_a[inner_a], own_b[inner_b], group_b[inner_b]).decode()
                 fragments = (*part(0), inner, *(part(n) if n else ("", "")))
             rows.append((
-                row["row"], row["pieces"], row["piece"], row["n_a"], row["n_b"], len(closing), len(codes),
-                int(best[at].sum()), int(counts[at].sum()), sha, len(closing) > 0, *fragments,
+                row["row"], row["pieces"], row["piece"], row["n_a"], row["n_b"], n, len(codes),
+                int(best[at].sum()), int(counts[at].sum()), sha, n > 0, *fragments,
                 rare.tolist(), times.tolist(),
             ))
             held += 200 + 16 * len(rare) + (6 * (len(a) + len(b)) if sha is None else 0)

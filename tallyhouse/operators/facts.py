@@ -101,11 +101,15 @@ def order_line_fact(
 
 def order_values(tables: Tables) -> DataFrame:
     """order_id, quantity, cents: one row per order that has lines."""
+    if tables.has("order_sums"):
+        return tables.order_sums.where("priced_lines > 0").select("order_id", "quantity", "cents")
     return _sums(priced_lines(tables), "order_id")
 
 
 def order_quantities(tables: Tables) -> DataFrame:
     """order_id, quantity: no product is read."""
+    if tables.has("order_sums"):
+        return tables.order_sums.select("order_id", F.col("all_quantity").alias("quantity"))
     return tables.lines.groupBy("order_id").agg(F.sum(_quantity()).alias("quantity"))
 
 
@@ -149,12 +153,32 @@ def order_product_fact(tables: Tables, returns: str = ALL) -> DataFrame:
 
 def product_quantities(tables: Tables, returns: str = ALL) -> DataFrame:
     """product_id, quantity: one row per product with such lines."""
+    if tables.has("product_months"):
+        return _rolled(tables, returns).groupBy("product_id").agg(F.sum("quantity").alias("quantity"))
     lines = tables.lines.where(F.col("product_id").isNotNull())
     if returns != ALL:
         lines = lines.join(by_returns(tables.orders, returns), "order_id")
     return lines.groupBy("product_id").agg(F.sum(_quantity()).alias("quantity"))
 
 
+def _rolled(tables: Tables, returns: str) -> DataFrame:
+    """The stored sums of products; only orders that are there have a flag to tell."""
+    sums = tables.product_months
+    return sums if returns == ALL else by_returns(sums.where("ordered"), returns)
+
+
+def product_months(tables: Tables, returns: str = ALL) -> DataFrame:
+    """product_id, month_start, quantity: one row per product and month of dated orders."""
+    if tables.has("product_months"):
+        months = _rolled(tables, returns).where("ordered").withColumnRenamed("order_month", "month_start")
+    else:
+        lines = order_line_fact(tables, returns, ("product_id", "order_date", "quantity"))
+        months = lines.where(F.col("product_id").isNotNull()).select(
+            "product_id", F.trunc("order_date", "month").alias("month_start"), "quantity"
+        )
+    return months.groupBy("product_id", "month_start").agg(F.sum("quantity").alias("quantity"))
+
+
 def with_product(tables: Tables, quantities: DataFrame, *columns: str) -> DataFrame:
     """Add product columns and cents to rows that hold a product and a quantity.
 

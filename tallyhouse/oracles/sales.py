@@ -30,6 +30,10 @@ SQL = {
         f" SELECT year(m) AS year, month(m) AS month, {money('sum(cents)')} AS revenue"
         " FROM sale GROUP BY m ORDER BY m DESC"
     ),
+    "ingest_rollups": q(
+        f" SELECT year(m) AS year, month(m) AS month, {money('sum(cents)')} AS revenue"
+        " FROM sale GROUP BY m ORDER BY m DESC"
+    ),
     "q01_04a_revenue_by_product_name": q(
         f" SELECT product_name, category, {money('sum(cents)')} AS revenue"
         " FROM sale GROUP BY ALL ORDER BY 2, 3 DESC"

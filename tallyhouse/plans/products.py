@@ -200,11 +200,7 @@ def pareto_products(t: Tables, percent: int = labels.PARETO_PERCENT) -> DataFram
 
 @plan("q03_08_declining_products")
 def declining_products(t: Tables) -> DataFrame:
-    months = (
-        facts.order_line_fact(t, facts.NET, ("product_id", "order_date", "quantity"))
-        .groupBy("product_id", month_start(F.col("order_date")).alias("month_start"))
-        .agg(F.sum("quantity").alias("quantity"))
-    )
+    months = facts.product_months(t, facts.NET)
     revenue = facts.with_product(t, months, "product_name")
     return any_decline(
         revenue, ("product_id", "product_name"), "month_start", "cents"

@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 from tallyhouse.functions.numbers import WHOLE, cents
 from tallyhouse.operators.integrity import integrity_report, violations
 from tallyhouse.plans.registry import plan
+from tallyhouse.plans.sales import revenue_by_month
 from tallyhouse.plans.trends import last_year_by_month
 from tallyhouse.sources.ingest import new_folder, write_native
 from tallyhouse.sources.layout import load_layout, write_layout
+from tallyhouse.sources.rollups import with_rollups, write_rollups
 from tallyhouse.sources.tables import NATIVE, Tables, load_native
 
 
@@ -66,3 +68,11 @@ def ingest_by_month(t: Tables) -> DataFrame:
     folder = new_folder(t.orders.sparkSession)
     write_layout(t, folder, buckets=8)
     return last_year_by_month(load_layout(t.orders.sparkSession, folder))
+
+
+@plan("ingest_rollups")
+def ingest_rollups(t: Tables) -> DataFrame:
+    """Writes the stored sums, and reports revenue by month from them."""
+    folder = new_folder(t.orders.sparkSession)
+    write_rollups(t, folder)
+    return revenue_by_month(with_rollups(t, folder))

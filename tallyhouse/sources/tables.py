@@ -47,6 +47,14 @@ class Tables:
         """
         return self if self._since is None else self._since(start)
 
+    def also(self, **opener: Callable[[], DataFrame]) -> Tables:
+        """The same tables and further ones, such as stored sums."""
+        since = self._since and (lambda start: self._since(start).also(**opener))
+        return Tables(since, **(self._opener | opener))
+
+    def has(self, name: str) -> bool:
+        return name in self._opener
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._opener:
             raise AttributeError(name)

@@ -18,9 +18,10 @@ by arithmetic, not by the data:
   Ordinary amounts fill some dozens.
 
 For keys without such a sum, such as ids, ``levels`` repeats the step on the
-blocks. Amounts beyond 64 bits (DECIMAL(38,0), up to 10^36) are cut into two LONG
-limbs of 18 digits: totals per high limb, with blocks of their own, are added to
-those within it. Every window then sees at most 2^21 keys.
+blocks. Amounts beyond 64 bits (DECIMAL(38,0), below 10^30) are cut into two LONG
+limbs, the lower one of 12 digits: totals per high limb, with blocks of their own, are
+added to those within it. A low limb fills at most 2^20 blocks, and as a sum of 10^30
+holds no more than 1.5 million different blocks of high limbs, no window sees more.
 
 A null value is lower than every known one, also below negative ones: its order key
 is ``lowest`` and it adds nothing to a total. Block numbers depend on the value
@@ -40,9 +41,9 @@ from tallyhouse.functions.numbers import WHOLE
 
 BLOCK_BITS = 20
 #: Digits of the lower limb of a wide key.
-LIMB = 18
+LIMB = 12
 #: Order keys of null: no amount of this type is as low.
-LOWEST_LONG, LOWEST_WHOLE = -(2**63 - 1), -(10**36)
+LOWEST_LONG, LOWEST_WHOLE = -(2**63 - 1), -(10**30)
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -70,7 +71,7 @@ def prefix_totals(
 
     if levels == 0:
         marked, block = frame, high
-        above = lambda sums: prefix_totals(sums, high, measures, within, bits, 2)
+        above = lambda sums: prefix_totals(sums, high, measures, within, bits)
     else:
         parts.append(block := f"_block{levels}{high or ''}")
         marked = frame.withColumn(block, F.shiftright(key, bits))
@@ -152,12 +153,12 @@ def climb(
     if not wide:
         ordered = groups.withColumn("_order", order)
         return prefix_totals(ordered, "_order", measures, within).drop("_order")
-    limb = F.lit(10**LIMB).cast("decimal(19,0)")
+    limb = F.lit(10**LIMB).cast("decimal(13,0)")
     low = F.pmod(order, limb)
     cut = groups.withColumns(
         {"_low": low.cast("long"), "_high": _div(order - low.cast(WHOLE), limb).cast("long")}
     )
-    return prefix_totals(cut, "_low", measures, within, levels=2, high="_high").drop("_low", "_high")
+    return prefix_totals(cut, "_low", measures, within, high="_high").drop("_low", "_high")
 
 
 def with_dense_rank(
